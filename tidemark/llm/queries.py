@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, dart_dedup, pivot_dedup, quality_classifier, secret_scans, source_mixing, token_counts, toxicity
+from . import best_fit_packing, chat_repair, dart_dedup, image_copies, pivot_dedup, quality_classifier, secret_scans, source_mixing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repaired = chat_repair.repair(_table(spark, sf_dir, "conversations"))
+    return repaired.select("conv_id", "turn", "place", "role", "new_role", "action", "inserted", "cost", "rendered")
+
+
+def op2_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return image_copies.find_copies(image_copies.render_pages(_table(spark, sf_dir, "pages"))).withColumnRenamed("id", "page_id")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = quality_classifier.quality_scores(docs, labels)
@@ -61,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_classifier, op4_secret_scans, op5_source_mixing, op6_toxicity, op7_minhash_dedup, op8_best_fit_packing, op9_token_counts, op10_embedding_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_chat_repair, op2_image_copies, op3_quality_classifier, op4_secret_scans, op5_source_mixing, op6_toxicity, op7_minhash_dedup, op8_best_fit_packing, op9_token_counts, op10_embedding_dedup, pipeline)}
 
 
 def _sql_spans(rule: secret_scans.Rule, number: int) -> str:
