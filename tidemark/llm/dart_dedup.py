@@ -43,7 +43,7 @@ def shingles(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[
     n = np.minimum(count, width)[doc]
     for k in range(width):
         ahead = np.zeros(len(hashes), dtype=np.uint64)
-        ahead[: len(hashes) - k] = hashes[k:]
+        ahead[: max(0, len(hashes) - k)] = hashes[k:]
         total = np.where(k < n, total * _C1 + ahead, total)
     first = np.cumsum(count) - count
     place = np.arange(len(hashes)) - first[doc]
@@ -84,9 +84,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
             d, e, top, rank, h = d[on], e[on], top[on], rank[on], h[on]
             g = mix(h + _C2)
             hit = (g >> np.uint64(40)).astype(np.float64) * 2.0**-24 <= top
+            g = g[hit]
             keys.append(d[hit] * k + ((g & np.uint64(0xFFFF)) * np.uint64(k) >> np.uint64(16)).astype(np.int64))
             ranks.append(rank[hit])
-            values.append((mix(g) >> np.uint64(32)).astype(np.uint32)[hit])
+            values.append((mix(g) >> np.uint64(32)).astype(np.uint32))
         key, rank, value = np.concatenate(keys), np.concatenate(ranks), np.concatenate(values)
         order = np.lexsort((rank, key))
         key, value = key[order], value[order]
