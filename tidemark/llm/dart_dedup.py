@@ -6,12 +6,11 @@ weights is its signature there, so two signatures agree at a coordinate with the
 similarity. Only the darts up to a rank of about (k ln k + 2 k) / total weight need to be looked at: their number
 does not depend on the size of the set. (Unit weights, the default, make that the Jaccard similarity of sets.)
 
-Signatures are cut into bands; documents with an equal band are candidates. In each bucket every document is compared
-with the bucket's first, by the exact similarity of their shingle sets. Where a bucket still holds several
-components, each document meets the one of another component whose signature is most alike, until nothing more joins;
-then all pairs of such a bucket that lie in two components and whose signatures could belong to similar sets are
-compared. Work on a bucket is thus linear in its size as long as its members are alike, and long buckets are cut into
-portions. Copies of one text are one document until the end.
+Signatures are cut into bands; documents with an equal band are candidates, in one bucket. A document first meets the
+least of the first documents of its buckets, by the exact similarity of their shingle sets. Where a bucket then still
+holds several components, all its pairs that lie in two of them are decided exactly, inside tasks that give back only a
+forest of the links: no task's output grows faster than its input, and long buckets are cut into portions. Copies of one
+text are one document until the end.
 
 Defined results: null and empty texts, and those of white space only, are alone; texts of fewer than five words have
 one shingle, all their words; one row per input row; rows with a null id are alone, their class null; other columns
@@ -22,14 +21,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, components, in_parts, mix, text_bytes, word_hashes, words
 
 WIDTH, K, ROWS = 5, 120, 5
-PORTION = 1000
+#: Documents and shingles of a portion of a bucket.
+PORTION, PORTION_SHINGLES = 1000, 500_000
+#: Up to so many candidates their ids are broadcast (about 12 MB) to pick out their shingles; beyond that they are joined by shuffling.
+MOST_BROADCAST = 500_000
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -114,7 +115,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, k: int, rows: int, weighted: bool) -> DataFrame:
-    """(id, copy_of, bands, signature, shingles); copy_of is the text's digest, bands are empty for texts without words."""
+    """(id, copy_of, bands, shingles); copy_of is the text's digest, bands are empty for texts without words."""
 
     def of(batches):
         for batch in batches:
@@ -122,21 +123,15 @@ def described(docs: DataFrame, id_col: str, text_col: str, k: int, rows: int, we
                 raw, offsets = text_bytes(part.column(text_col))
                 doc, found, times = shingles(raw, offsets)
                 n = len(part)
-                signature = signatures(doc, found, times if weighted else np.ones(len(doc)), n, k)
+                bands = band_hashes(signatures(doc, found, times if weighted else np.ones(len(doc)), n, k), rows).view(np.int64)
                 count = np.bincount(doc, minlength=n)
                 some = count > 0
-                bands = band_hashes(signature, rows).view(np.int64)
-                short = (signature & np.uint32(0x7FFF)).astype(np.int16)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(id_col), part.column("copy_of"), _lists(bands[some].ravel(), some * bands.shape[1]), _lists(short[some].ravel(), some * k),
-                        _lists((found & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), count),
-                    ], ["id", "copy_of", "bands", "signature", "shingles"],
-                )
+                short = (found & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(id_col), part.column("copy_of"), _lists(bands[some].ravel(), some * bands.shape[1]), _lists(short, count)], ["id", "copy_of", "bands", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows_in = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col, F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("copy_of"))
-    return rows_in.mapInArrow(of, f"id {kind}, copy_of string, bands array<long>, signature array<short>, shingles array<int>")
+    return rows_in.mapInArrow(of, f"id {kind}, copy_of string, bands array<long>, shingles array<int>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -147,77 +142,95 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= F.lit(threshold) * (F.size("_x") + F.size("_y") - common) - 1e-9).select("a", "b")
 
 
-def _met(buckets: DataFrame, least: float, all_of_them: bool) -> DataFrame:
-    """(a, b), a < b, of different components in the rows (bucket, id, component, signature) of one bucket.
+def alike(sets: list[np.ndarray], threshold: float, width: int = 4096) -> np.ndarray:
+    """The matrix of which sets have a Jaccard similarity of threshold or more, by products of incidence matrices."""
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    ends = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + width + 1, width))
+    for i, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        if high > low:
+            part = np.zeros((len(sets), width), dtype=np.float32)
+            part[row[low:high], column[low:high] - i * width] = 1
+            common += part @ part.T
+    return common >= threshold * (sizes[:, None] + sizes[None, :] - common) - 1e-6
+
+
+def spanning(linked: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric link matrix the least node of its component."""
+    label = np.arange(len(linked))
+    reach = linked | np.eye(len(linked), dtype=bool)
+    while True:
+        low = np.where(reach, label[None, :], len(linked)).min(axis=1)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def met_in_buckets(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that span those between different components within the buckets of (bucket, id, component, shingles).
 
-    all_of_them: every pair whose signatures agree in a share `least`; otherwise for each id the most alike one.
+    Every pair of a bucket that lies in two components is decided exactly, but only a forest of the links leaves a task.
+    A bucket is cut into portions by numbers of documents and shingles; each pair of portions is a task.
     """
-    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / PORTION).cast("int").alias("cut"))
-    cut = buckets.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("cut")).cast("int"))
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / PORTION, F.sum(F.size("shingles")) / PORTION_SHINGLES)).cast("int").alias("cut"))
+    cut = rows.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("cut")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    cut = cut.select("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "id", "component", "signature")
-    kind = buckets.schema["id"].dataType.simpleString()
+    cut = cut.select("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "id", "component", "shingles")
+    kind = rows.schema["id"].dataType.simpleString()
 
     def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        sig = table.column("signature").combine_chunks()
-        x = sig.flatten().to_numpy().reshape(len(table), -1)
         ids = table.column("id").combine_chunks()
         _, part = np.unique(table.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
-        left, right = [], []
-        for i in range(0, len(x), 100):
-            alike = np.zeros((len(x[i : i + 100]), len(x)), dtype=np.int16)
-            for c in range(x.shape[1]):
-                alike += x[i : i + 100, c, None] == x[None, :, c]
-            alike[part[i : i + 100, None] == part[None, :]] = -1
-            if all_of_them:
-                a, b = np.nonzero(alike >= least * x.shape[1])
-            else:
-                b = alike.argmax(axis=1)
-                a = np.flatnonzero(alike[np.arange(len(b)), b] >= least * x.shape[1])
-                b = b[a]
-            left.append(a + i), right.append(b)
-        a, b = ids.take(pa.array(np.concatenate(left))), ids.take(pa.array(np.concatenate(right)))
-        return pa.table([pc.min_element_wise(a, b), pc.max_element_wise(a, b)], names=["a", "b"])
-
-    return cut.groupBy("bucket", "p", "q").applyInArrow(of, f"a {kind}, b {kind}").distinct()
+        lists = table.column("shingles").combine_chunks()
+        offsets = lists.offsets.to_numpy()
+        values = lists.values.to_numpy()
+        linked = alike([values[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], threshold)
+        linked &= part[:, None] != part[None, :]
+        label = spanning(linked)
+        joined = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table([ids.take(pa.array(label[joined])), ids.take(pa.array(joined))], names=["a", "b"])
+
+    return cut.groupBy("bucket", "p", "q").applyInArrow(of, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = K, rows: int = ROWS, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, class_id, kept) per row of docs; class_id is the least id of the class, kept marks that document."""
     kind = docs.schema[id_col].dataType.simpleString()
-    seen = Stored(described(docs, id_col, text_col, k, rows, weighted)).df
-    copies = Stored(seen.select("copy_of", "id", F.size("bands").alias("n")).groupBy("copy_of").agg(F.min("id").alias("rep"), F.max("n").alias("n"))).df
-    # of the rows of a repeated id (and text) one is enough
-    firsts = seen.join(copies.where("n > 0").select("copy_of", F.col("rep").alias("id")), ["copy_of", "id"], "left_semi")
+    seen = Stored(described(docs, id_col, text_col, k, rows, weighted))
+    copies = Stored(seen.df.select("copy_of", "id", F.size("bands").alias("n")).groupBy("copy_of").agg(F.min("id").alias("rep"), F.max("n").alias("n"))).df
+    firsts = seen.df.select("copy_of", "id", "bands").join(copies.where("n > 0").select("copy_of", F.col("rep").alias("id")), ["copy_of", "id"], "left_semi")
     banded = firsts.select("id", F.explode("bands").alias("bucket"))
     buckets = Stored(banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("bucket", "hub")).df
     members = Stored(banded.join(buckets, "bucket").distinct()).df
-    active = Stored(firsts.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))).df
-    tested = Stored(members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()).df
+    ids = Stored(members.select("id").distinct()).df
+    few = ids.count() <= MOST_BROADCAST
+    active = Stored(seen.df.select("id", "shingles").join(F.broadcast(ids) if few else ids, "id", "left_semi")).df
+    whole = Stored(seen.df.select("id", "copy_of")).df
+    seen.drop()
+    # a document first meets the least of its hubs; most buckets are in one component after that
+    tested = Stored(members.where("id != hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))).df
     linked = Stored(similar(tested, active, threshold)).df
-    least = threshold - 4 * (threshold * (1 - threshold) / k) ** 0.5
-    known, everything, joined = components(linked), False, True
-    while True:
-        if joined:
-            placed = members.select("bucket", "id").join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-            open_ones = Stored(placed.join(mixed, "bucket").join(active.select("id", "signature"), "id")).df
-        more = Stored(_met(open_ones, least, everything).join(tested, ["a", "b"], "left_anti")).df
-        new = Stored(similar(more, active, threshold)).df
-        tested = tested.union(more)
-        joined = new.limit(1).count() > 0
-        if joined:
-            linked = linked.union(new)
-            known = components(linked)
-        elif everything:
-            break
-        else:
-            everything = True
+    known = components(linked)
+    placed = members.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = placed.groupBy("bucket", "hub").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("id").alias("last"), F.count("*").alias("n")).where("low < high")
+    # of a bucket of two nothing is left to test if its pair has been
+    untested = mixed.where("n = 2").join(tested.toDF("last", "hub"), ["last", "hub"], "left_anti").select("bucket").union(mixed.where("n > 2").select("bucket"))
+    open_ones = placed.join(untested, "bucket").select("bucket", "id", "component").join(active, "id")
+    more = Stored(met_in_buckets(open_ones, threshold)).df
+    if more.limit(1).count():
+        known = components(linked.union(more))
     of_copy = copies.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("copy_of", "n", F.coalesce("component", "rep").alias("component"))
-    whole = seen.select("id", "copy_of").join(of_copy, "copy_of").select("id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("class_id"))
+    named = whole.join(of_copy, "copy_of").select("id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("class_id"))
     alone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.lit(None).cast(kind).alias("class_id"))
-    return whole.union(alone).select(F.col("id").alias(id_col), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return named.union(alone).select(F.col("id").alias(id_col), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
