@@ -207,11 +207,11 @@ def _seed_features() -> tuple[np.ndarray, tuple[str, ...]]:
     return found[first], SEED_WORDS
 
 
-def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = 8_000) -> Model:
+def toxicity_model(docs: DataFrame, labels: DataFrame, most: int = 5_000) -> Model:
     texts, y = labelled_sample(docs, labels, "toxic", remainder(5) != 0, most)
     return train(texts, y)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, most: int = 8_000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None, most: int = 5_000) -> DataFrame:
     """(doc_id, score) of docs by a model learned from the labelled rows of train_docs (docs itself by default)."""
     return score_with(docs, toxicity_model(docs if train_docs is None else train_docs, labels, most))
