@@ -6,10 +6,11 @@ Hamming distance of at most three share an entry. Images are compared with the f
 share: the matching corners vote for a scale and a shift, and the images are linked if enough corners of the smaller
 one agree on one. Classes are the components of the links; equal images are one image until the end. Since members of
 an entry meet its first image only, no entry emits its pairs; images that share a region share the entries of all its
-corners, and so the firsts of those entries that show the region too.
+corners, and so the firsts of those entries that show the region too. Corners and entries are thinned out by hashes of
+their own contents, so copies keep the same ones wherever the region lies.
 
 The tables here have no images, so the media column is made from `pages`: render_pages() draws the visible text, one
-paragraph below the other, as glyph blocks. A page that repeats another's paragraphs, or a part of them, is an image
+paragraph below the other, each word a cell of its own grey. A page that repeats another's paragraphs, or a part of them, is an image
 that shows the same region elsewhere.
 
 Defined results: null, empty and malformed images, and those without corners, are alone; one row per input row; rows
@@ -26,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, mix
+from .common import Stored, components, mix, text_bytes, word_hashes, words
 
-WIDTH, GLYPH = 64, 2  # of the rendered pages: pixels a row, rows of pixels a line of text
+WORDS, CELL = 24, 2  # of the rendered pages: words a row, pixels a word's cell is wide and high
+WIDTH = WORDS * CELL
 SCALES = (1, 2)
-MOST_CORNERS = 400  # a scale, the strongest of evenly spread ones
 RADIUS = 4
+#: One in so many corners is kept, and one in so many table entries, picked by hashes of what they hold: copies keep the same.
+THIN_CORNERS, THIN_ENTRIES = 2, 4
 _random = np.random.default_rng(11)
 #: The binary tests: 64 pairs of offsets within the radius.
 TESTS = _random.uniform(-RADIUS, RADIUS, (64, 2, 2))
@@ -46,18 +49,20 @@ _TAG = re.compile(r"<[^>]*>")
 
 
 def draw(html: str) -> np.ndarray:
-    """The visible text as a grey image of WIDTH columns: each character a column of GLYPH pixels, paragraphs on new rows."""
+    """The visible text as a grey image of WIDTH columns: each word a cell of its own grey, paragraphs on new rows."""
     text = unescape(_TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("\n", html))))
-    lines = []
-    for line in text.split("\n"):
-        line = " ".join(line.split())
-        lines += [line[i : i + WIDTH] for i in range(0, len(line), WIDTH)]
-    if not lines:
+    raw, offsets = text_bytes(pa.array([x for x in text.split("\n") if x.strip()], pa.string()))
+    starts, ends = words(raw)
+    if not len(starts):
         return np.zeros((0, WIDTH), dtype=np.uint8)
-    codes = np.frombuffer("".join(x.ljust(WIDTH) for x in lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(lines), WIDTH)
-    inks = mix(codes.astype(np.uint64) * np.uint64(GLYPH) + np.uint64(1))
-    rows = [np.where(codes == 32, 0, (inks >> np.uint64(8 * k)) & np.uint64(255)) for k in range(GLYPH)]
-    return np.stack(rows, axis=1).reshape(-1, WIDTH).astype(np.uint8)
+    paragraph = np.searchsorted(offsets, starts, side="right") - 1
+    count = np.bincount(paragraph, minlength=len(offsets) - 1)
+    rows = -(-count // WORDS)
+    first = np.cumsum(rows) - rows
+    place = np.arange(len(starts)) - (np.cumsum(count) - count)[paragraph]
+    cells = np.zeros((int(rows.sum()), WORDS), dtype=np.uint8)
+    cells[first[paragraph] + place // WORDS, place % WORDS] = (word_hashes(raw, starts, ends) >> np.uint64(56)) | np.uint64(1)
+    return cells.repeat(CELL, axis=0).repeat(CELL, axis=1)
 
 
 def render_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -98,12 +103,7 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         y, x = np.nonzero((inner > around) & (inner > 1e4))
         if not len(y):
             continue
-        # a bounded number a row of blocks, so that a long image is described along all its length
-        block = y // 64
-        order = np.lexsort((-inner[y, x], block))
-        nth = np.arange(len(order)) - np.searchsorted(block[order], block[order])
-        keep = np.sort(order[nth < MOST_CORNERS // 8])
-        y, x = y[keep] + m, x[keep] + m
+        y, x = y + m, x + m
         smooth = _box(small)
         patch = small[y[:, None, None] + _yy, x[:, None, None] + _xx]
         turn = np.arctan2((patch * _yy).sum((1, 2)), (patch * _xx).sum((1, 2)))
@@ -111,8 +111,10 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ty, tx = np.clip(y[:, None, None] + tests[..., 0], 0, h - 1), np.clip(x[:, None, None] + tests[..., 1], 0, w - 1)
         values = smooth[ty, tx]
         bits = values[:, :, 0] < values[:, :, 1]
-        strings.append(np.packbits(bits, axis=1).view("<u8").ravel())
-        found.append(np.stack([y * scale, x * scale, np.full(len(y), scale)], axis=1))
+        string = np.packbits(bits, axis=1).view("<u8").ravel()
+        keep = mix(string) % np.uint64(THIN_CORNERS) == 0
+        strings.append(string[keep])
+        found.append(np.stack([y * scale, x * scale, np.full(len(y), scale)], axis=1)[keep])
     if not found:
         return np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
     return np.concatenate(found), np.concatenate(strings)
@@ -144,6 +146,11 @@ def agreeing(corners_a: np.ndarray, strings_a: np.ndarray, corners_b: np.ndarray
     return int(counts.max())
 
 
+def unpacked(corners: np.ndarray) -> np.ndarray:
+    """(y, x, scale) of the corners as find_copies() keeps them."""
+    return np.stack([corners >> 32, corners >> 4 & 0xFFFFFFF, corners & 15], axis=1)
+
+
 def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFrame:
     """(id, class_id, n_corners, kept) of images (id, width, pixels).
 
@@ -160,18 +167,18 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
             for width, pixels in zip(batch.column("width").to_pylist(), batch.column("pixels").to_pylist(), strict=True):
                 whole = bool(pixels) and bool(width) and width > 0 and len(pixels) % width == 0
                 at, text = describe(np.frombuffer(pixels, dtype=np.uint8).reshape(-1, width)) if whole else describe(np.zeros((0, 1), np.uint8))
-                corners.append(at.ravel().tolist())
-                strings.append(text.view(np.int64).tolist())
-                keys = np.concatenate([mix((text >> np.uint64(s) & np.uint64(0xFFFF)) * np.uint64(4) + np.uint64(k)) for k, s in enumerate((0, 16, 32, 48))])
-                tables.append(np.unique(keys).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(corners, pa.list_(pa.int32())), pa.array(strings, pa.list_(pa.int64())), pa.array(tables, pa.list_(pa.int64()))], ["id", "same", "corners", "strings", "tables"])
+                corners.append(at[:, 0] << 32 | at[:, 1] << 4 | at[:, 2])
+                strings.append(text.view(np.int64))
+                keys = np.unique(np.concatenate([mix((text >> np.uint64(s) & np.uint64(0xFFFF)) * np.uint64(4) + np.uint64(k)) for k, s in enumerate((0, 16, 32, 48))]))
+                tables.append(keys[keys % np.uint64(THIN_ENTRIES) == 0].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(corners, pa.list_(pa.int64())), pa.array(strings, pa.list_(pa.int64())), pa.array(tables, pa.list_(pa.int64()))], ["id", "same", "corners", "strings", "tables"])
 
     once = seen.join(firsts.select("same", F.col("rep").alias("id")), ["same", "id"], "left_semi").dropDuplicates(["id"]).select("id", "same", "width", "pixels")
-    known = Stored(once.mapInArrow(described, f"id {kind}, same string, corners array<int>, strings array<long>, tables array<long>")).df
+    known = Stored(once.mapInArrow(described, f"id {kind}, same string, corners array<long>, strings array<long>, tables array<long>")).df
     entries = known.where(F.size("strings") >= least).select("id", F.explode("tables").alias("entry"))
     hubs = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("entry", "hub")
-    # images that share one of their many entries by chance don't share enough of them
-    pairs = entries.join(hubs, "entry").where("id != hub").groupBy(F.col("hub").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    # images that share an entry by chance don't share two
+    pairs = entries.join(hubs, "entry").where("id != hub").groupBy(F.col("hub").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n")).where("n > 1")
     sets = known.select("id", "corners", "strings")
     both = pairs.join(sets.toDF("a", "ca", "sa"), "a").join(sets.toDF("b", "cb", "sb"), "b").select("a", "b", "ca", "sa", "cb", "sb")
 
@@ -181,7 +188,7 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
             for i in range(len(batch)):
                 ca, sa, cb, sb = (batch.column(c)[i].values.to_numpy() for c in ("ca", "sa", "cb", "sb"))
                 sa, sb = sa.view(np.uint64), sb.view(np.uint64)
-                n = agreeing(ca.reshape(-1, 3), sa, cb.reshape(-1, 3), sb)
+                n = agreeing(unpacked(ca), sa, unpacked(cb), sb)
                 good.append(n >= max(least, share * min(len(sa), len(sb))))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
