@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, mix, text_bytes, word_hashes, words
+from .common import Stored, components, in_parts, mix, text_bytes, word_hashes, words
 
 WORDS, CELL = 24, 2  # of the rendered pages: words a row, pixels a word's cell is wide and high
 WIDTH = WORDS * CELL
@@ -48,21 +48,26 @@ _BREAK = re.compile(r"</?(?:p|h[1-6]|div|li|br|tr|article|table|section)\b[^>]*>
 _TAG = re.compile(r"<[^>]*>")
 
 
-def draw(html: str) -> np.ndarray:
-    """The visible text as a grey image of WIDTH columns: each word a cell of its own grey, paragraphs on new rows."""
-    text = unescape(_TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("\n", html))))
-    raw, offsets = text_bytes(pa.array([x for x in text.split("\n") if x.strip()], pa.string()))
+def draw(pages: list[str]) -> list[np.ndarray]:
+    """The visible text of each page as a grey image of WIDTH columns: a word is a cell of its own grey, paragraphs begin rows."""
+    paragraphs, of_page = [], []
+    for i, html in enumerate(pages):
+        text = unescape(_TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("\n", html))))
+        held = [x for x in text.split("\n") if x and not x.isspace()]
+        paragraphs += held
+        of_page += [i] * len(held)
+    raw, offsets = text_bytes(pa.array(paragraphs, pa.string()))
     starts, ends = words(raw)
-    if not len(starts):
-        return np.zeros((0, WIDTH), dtype=np.uint8)
     paragraph = np.searchsorted(offsets, starts, side="right") - 1
-    count = np.bincount(paragraph, minlength=len(offsets) - 1)
+    count = np.bincount(paragraph, minlength=len(paragraphs))
     rows = -(-count // WORDS)
     first = np.cumsum(rows) - rows
     place = np.arange(len(starts)) - (np.cumsum(count) - count)[paragraph]
     cells = np.zeros((int(rows.sum()), WORDS), dtype=np.uint8)
     cells[first[paragraph] + place // WORDS, place % WORDS] = (word_hashes(raw, starts, ends) >> np.uint64(56)) | np.uint64(1)
-    return cells.repeat(CELL, axis=0).repeat(CELL, axis=1)
+    image = cells.repeat(CELL, axis=0).repeat(CELL, axis=1)
+    ends = np.cumsum(np.bincount(np.array(of_page, dtype=np.int64), weights=rows, minlength=len(pages)).astype(np.int64)) * CELL
+    return [image[i:j] for i, j in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)]
 
 
 def render_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -70,8 +75,9 @@ def render_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     def drawn(batches):
         for batch in batches:
-            images = [draw(x or "") for x in batch.column(html_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array([WIDTH] * len(images), pa.int32()), pa.array([x.tobytes() for x in images], pa.binary())], ["id", "width", "pixels"])
+            for part in in_parts(batch, html_col):
+                images = draw([x or "" for x in part.column(html_col).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array([WIDTH] * len(images), pa.int32()), pa.array([x.tobytes() for x in images], pa.binary())], ["id", "width", "pixels"])
 
     kind = pages.schema[id_col].dataType.simpleString()
     return pages.select(id_col, html_col).mapInArrow(drawn, f"id {kind}, width int, pixels binary")
@@ -99,8 +105,10 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         strength = a * c - b * b - 0.05 * (a + c) ** 2
         m = RADIUS + 1
         inner = strength[m:-m, m:-m]
-        around = np.max([strength[m + i : h - m + i, m + j : w - m + j] for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j], axis=0)
-        y, x = np.nonzero((inner > around) & (inner > 1e4))
+        peak = inner > 1e4
+        for i, j in ((0, 1), (0, -1), (1, 0), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)):
+            peak &= inner > strength[m + i : h - m + i, m + j : w - m + j]
+        y, x = np.nonzero(peak)
         if not len(y):
             continue
         y, x = y + m, x + m
