@@ -33,6 +33,8 @@ WORDS, CELL = 24, 2  # of the rendered pages: words a row, pixels a word's cell
 WIDTH = WORDS * CELL
 SCALES = (1, 2)
 RADIUS = 4
+#: Up to so many distinct images their digests are broadcast (about 50 MB); beyond that they are joined by shuffling.
+MOST_BROADCAST = 400_000
 #: One in so many corners is kept, and one in so many table entries, picked by hashes of what they hold: copies keep the same.
 THIN_CORNERS, THIN_ENTRIES = 2, 4
 _random = np.random.default_rng(11)
@@ -166,8 +168,9 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
     """
     kind = images.schema["id"].dataType.simpleString()
     digest = F.sha2(F.concat(F.coalesce(F.col("width").cast("string"), F.lit("")).cast("binary"), F.lit(":").cast("binary"), F.coalesce("pixels", F.lit(b""))), 256)
-    seen = Stored(images.select("id", "width", "pixels", digest.alias("same"))).df
-    firsts = Stored(seen.where(F.col("id").isNotNull()).groupBy("same").agg(F.min("id").alias("rep"))).df
+    wide = Stored(images.select("id", "width", "pixels", digest.alias("same")))
+    firsts = Stored(wide.df.where(F.col("id").isNotNull()).groupBy("same").agg(F.min("id").alias("rep"))).df
+    few = firsts.count() <= MOST_BROADCAST
 
     def described(batches):
         for batch in batches:
@@ -181,8 +184,11 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
                 tables.append(keys[keys % np.uint64(THIN_ENTRIES) == 0].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(corners, pa.list_(pa.int64())), pa.array(strings, pa.list_(pa.int64())), pa.array(tables, pa.list_(pa.int64()))], ["id", "same", "corners", "strings", "tables"])
 
-    once = seen.join(firsts.select("same", F.col("rep").alias("id")), ["same", "id"], "left_semi").dropDuplicates(["id"]).select("id", "same", "width", "pixels")
+    reps = firsts.select("same", F.col("rep").alias("id"))
+    once = wide.df.join(F.broadcast(reps) if few else reps, ["same", "id"], "left_semi").select("id", "same", "width", "pixels")
     known = Stored(once.mapInArrow(described, f"id {kind}, same string, corners array<long>, strings array<long>, tables array<long>")).df
+    seen = Stored(wide.df.select("id", "same")).df
+    wide.drop()
     entries = known.where(F.size("strings") >= least).select("id", F.explode("tables").alias("entry"))
     hubs = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("entry", "hub")
     # images that share an entry by chance don't share two
@@ -202,7 +208,7 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
 
     links = Stored(both.mapInArrow(judged, f"a {kind}, b {kind}")).df
     part = components(links)
-    of_image = firsts.join(known.select(F.col("id").alias("rep"), F.size("strings").alias("n_corners")), "rep", "left").join(part.withColumnRenamed("node", "rep"), "rep", "left")
+    of_image = firsts.join(known.groupBy(F.col("id").alias("rep")).agg(F.max(F.size("strings")).alias("n_corners")), "rep", "left").join(part.withColumnRenamed("node", "rep"), "rep", "left")
     of_image = of_image.select("same", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.coalesce("component", "rep").alias("component"))
     out = seen.select("id", "same").join(of_image, "same", "left")
     alone = F.col("id").isNull() | (F.coalesce("n_corners", F.lit(0)) == 0)
