@@ -113,6 +113,19 @@ def test_image_copies(spark):
     assert image_copies.find_copies(image_copies.render_pages(pages)).count() == 3
 
 
+def test_image_copies_with_later_ids(spark):
+    """Crops are found however many unrelated images with smaller ids there are, and whatever region all images share."""
+    rng = np.random.default_rng(2)
+    shared = rng.integers(0, 255, (30, 64), dtype=np.uint8)
+    images = [rng.integers(0, 255, (100, 64), dtype=np.uint8) for _ in range(1000)]
+    for x in images[700:]:
+        x[-30:] = shared
+    crops = [x[20:90, 5:60] for x in images[-40:]]
+    rows = [(i, x.shape[1], x.tobytes()) for i, x in enumerate(images + crops)]
+    out = {r["id"]: r["class_id"] for r in image_copies.find_copies(spark.createDataFrame(rows, "id long, width int, pixels binary")).collect()}
+    assert out == {i: i if i < 1000 else i - 40 for i in range(1040)}
+
+
 # -- 3 and 6 ----------------------------------------------------------------------------------------------------------
 
 

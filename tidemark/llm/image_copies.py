@@ -2,12 +2,13 @@
 
 Corners are found at several scales; each gets an orientation from the intensity centroid around it and a 64-bit
 string of binary tests turned by that orientation. Strings are stored in four tables by 16 bits each, so that two at a
-Hamming distance of at most three share an entry. Images are compared with the first image of each entry that they
-share: the matching corners vote for a scale and a shift, and the images are linked if enough corners of the smaller
-one agree on one. Classes are the components of the links; equal images are one image until the end. Since members of
-an entry meet its first image only, no entry emits its pairs; images that share a region share the entries of all its
-corners, and so the firsts of those entries that show the region too. Corners and entries are thinned out by hashes of
-their own contents, so copies keep the same ones wherever the region lies.
+Hamming distance of at most three share the bits of one. An entry joins the bits of a corner with those of the nearest
+other corner, so entries stay short however many images there are. Entries with the same images are one. Images that
+share an entry are compared: the matching corners vote for a scale and a shift, and the images are linked if enough
+corners of the smaller one agree on one. Classes are the components of the links; equal images are one image until the
+end. Images of an entry first meet its first image; of entries that then lie in several components every pair of
+different components is decided, in portions of which only a forest of the links leaves a task. Corners and entries
+are thinned out by hashes of their own contents, so copies keep the same ones wherever the region lies.
 
 The tables here have no images, so the media column is made from `pages`: render_pages() draws the visible text, one
 paragraph below the other, each word a cell of its own grey. A page that repeats another's paragraphs, or a part of them, is an image
@@ -37,6 +38,10 @@ RADIUS = 4
 MOST_BROADCAST = 400_000
 #: One in so many corners is kept, and one in so many table entries, picked by hashes of what they hold: copies keep the same.
 THIN_CORNERS, THIN_ENTRIES = 2, 4
+#: How far off (in pixels of the scale) the other corner of an entry lies at most.
+REACH = 16
+#: Images and corners of a portion of an entry.
+PORTION, PORTION_CORNERS = 250, 50_000
 _random = np.random.default_rng(11)
 #: The binary tests: 64 pairs of offsets within the radius.
 TESTS = _random.uniform(-RADIUS, RADIUS, (64, 2, 2))
@@ -161,6 +166,90 @@ def unpacked(corners: np.ndarray) -> np.ndarray:
     return np.stack([corners >> 32, corners >> 4 & 0xFFFFFFF, corners & 15], axis=1)
 
 
+def table_keys(strings: np.ndarray) -> np.ndarray:
+    """The 16 bits of each string in each table, with the table's number: tables × strings."""
+    return np.stack([(strings >> np.uint64(s) & np.uint64(0xFFFF)) * np.uint64(4) + np.uint64(k) for k, s in enumerate((0, 16, 32, 48))])
+
+
+def nearest(corners: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """The string of the corner nearest to each of the same scale, the least of equally near ones; zero if none is in reach."""
+    out = np.zeros(len(strings), np.uint64)
+    for scale in np.unique(corners[:, 2]):
+        of = np.flatnonzero(corners[:, 2] == scale)  # by rows, then columns
+        y, x, s = corners[of, 0] // scale, corners[of, 1] // scale, strings[of]
+        for at in range(0, len(of), 256):
+            to = min(at + 256, len(of))
+            i, j = np.searchsorted(y, y[at] - REACH), np.searchsorted(y, y[to - 1] + REACH, side="right")
+            far = (y[at:to, None] - y[i:j]) ** 2 + (x[at:to, None] - x[i:j]) ** 2
+            far[np.arange(to - at), np.arange(at - i, to - i)] = np.iinfo(np.int64).max
+            least = far.min(axis=1)
+            found = np.where(far == least[:, None], s[i:j], np.iinfo(np.uint64).max).min(axis=1)
+            out[of[at:to]] = np.where(least <= REACH**2, found, np.uint64(0))
+    return out
+
+
+def entries_of(corners: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """The entries of an image."""
+    own, other = table_keys(strings), table_keys(nearest(corners, strings))
+    keys = np.unique(mix(own * np.uint64(1 << 18) + other))
+    return keys[keys % np.uint64(THIN_ENTRIES) == 0]
+
+
+def needed(m: int, n: np.ndarray, least: int, share: float) -> np.ndarray:
+    """How many corners must agree in images of m and n corners."""
+    return np.maximum(least, share * np.minimum(m, n))
+
+
+def met_in_entries(rows: DataFrame, least: int, share: float) -> DataFrame:
+    """(a, b): links that span those between different components within the entries of (entry, hub, id, component, corners, strings).
+
+    Every pair that lies in two components and doesn't hold the hub, which all have met, is decided: first by how many corners of one
+    have a key in common with the other, which is no less than how many agree.
+    """
+    sizes = rows.groupBy("entry").agg(F.ceil(F.greatest(F.count("*") / PORTION, F.sum(F.size("strings")) / PORTION_CORNERS)).cast("int").alias("cut"))
+    cut = rows.join(sizes, "entry").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("cut")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    cut = cut.select("entry", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "hub", "id", "component", "corners", "strings")
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by("id").combine_chunks()
+        ids = table.column("id").combine_chunks()
+        mine = table.column("mine").to_numpy()
+        hub = table.column("id").to_numpy(zero_copy_only=False) == table.column("hub").to_numpy(zero_copy_only=False)
+        _, label = np.unique(table.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
+        corners, strings = table.column("corners").combine_chunks(), table.column("strings").combine_chunks()
+        corners = [corners[i].values.to_numpy() for i in range(len(ids))]
+        strings = [strings[i].values.to_numpy().view(np.uint64) for i in range(len(ids))]
+        n = np.array([len(x) for x in strings])
+        own = [table_keys(x) for x in strings]
+        sets = [np.unique(x) for x in own]
+        keys, image = np.concatenate(sets), np.repeat(np.arange(len(ids)), [len(x) for x in sets])
+        order = np.argsort(keys, kind="stable")
+        keys, image = keys[order], image[order]
+        within = key[1].as_py() == key[2].as_py()
+        a, b = [], []
+        for i in range(len(ids)):
+            open_ = (np.arange(len(ids)) > i) & (label != label[i]) & ~hub & (not hub[i])
+            if not within:
+                open_ &= mine != mine[i]
+            if not open_.any():
+                continue
+            low, high = np.searchsorted(keys, own[i].ravel()), np.searchsorted(keys, own[i].ravel(), side="right")
+            times = high - low
+            at = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            with_ = image[at] * n[i] + np.repeat(np.tile(np.arange(n[i]), 4), times)
+            most = np.bincount(np.unique(with_[open_[image[at]]]) // n[i], minlength=len(ids))
+            for j in np.flatnonzero(open_ & (most >= needed(n[i], n, least, share))):
+                if label[i] != label[j] and agreeing(unpacked(corners[i]), strings[i], unpacked(corners[j]), strings[j]) >= needed(n[i], n[j], least, share):
+                    a.append(i)
+                    b.append(j)
+                    label[label == label[j]] = label[i]
+        return pa.table([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], names=["a", "b"])
+
+    return cut.groupBy("entry", "p", "q").applyInArrow(of, f"a {kind}, b {kind}")
+
+
 def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFrame:
     """(id, class_id, n_corners, kept) of images (id, width, pixels).
 
@@ -180,8 +269,7 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
                 at, text = describe(np.frombuffer(pixels, dtype=np.uint8).reshape(-1, width)) if whole else describe(np.zeros((0, 1), np.uint8))
                 corners.append(at[:, 0] << 32 | at[:, 1] << 4 | at[:, 2])
                 strings.append(text.view(np.int64))
-                keys = np.unique(np.concatenate([mix((text >> np.uint64(s) & np.uint64(0xFFFF)) * np.uint64(4) + np.uint64(k)) for k, s in enumerate((0, 16, 32, 48))]))
-                tables.append(keys[keys % np.uint64(THIN_ENTRIES) == 0].view(np.int64))
+                tables.append(entries_of(at, text).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(corners, pa.list_(pa.int64())), pa.array(strings, pa.list_(pa.int64())), pa.array(tables, pa.list_(pa.int64()))], ["id", "same", "corners", "strings", "tables"])
 
     reps = firsts.select("same", F.col("rep").alias("id"))
@@ -190,9 +278,10 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
     seen = Stored(wide.df.select("id", "same")).df
     wide.drop()
     entries = known.where(F.size("strings") >= least).select("id", F.explode("tables").alias("entry"))
-    hubs = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("entry", "hub")
-    # images that share an entry by chance don't share two
-    pairs = entries.join(hubs, "entry").where("id != hub").groupBy(F.col("hub").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("n")).where("n > 1")
+    held = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("all")).where("hub < last")
+    buckets = held.groupBy("hub", "last", "n", "all").agg(F.min("entry").alias("entry")).select("entry", "hub", "n")
+    members = Stored(entries.join(buckets, "entry")).df
+    pairs = members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     sets = known.select("id", "corners", "strings")
     both = pairs.join(sets.toDF("a", "ca", "sa"), "a").join(sets.toDF("b", "cb", "sb"), "b").select("a", "b", "ca", "sa", "cb", "sb")
 
@@ -203,11 +292,17 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
                 ca, sa, cb, sb = (batch.column(c)[i].values.to_numpy() for c in ("ca", "sa", "cb", "sb"))
                 sa, sb = sa.view(np.uint64), sb.view(np.uint64)
                 n = agreeing(unpacked(ca), sa, unpacked(cb), sb)
-                good.append(n >= max(least, share * min(len(sa), len(sb))))
+                good.append(bool(n >= needed(len(sa), len(sb), least, share)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     links = Stored(both.mapInArrow(judged, f"a {kind}, b {kind}")).df
     part = components(links)
+    placed = members.where("n > 2").join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
+    open_ones = placed.join(mixed, "entry").select("entry", "hub", "id", "component").join(sets, "id")
+    more = Stored(met_in_entries(open_ones, least, share)).df
+    if more.limit(1).count():
+        part = components(links.union(more))
     of_image = firsts.join(known.groupBy(F.col("id").alias("rep")).agg(F.max(F.size("strings")).alias("n_corners")), "rep", "left").join(part.withColumnRenamed("node", "rep"), "rep", "left")
     of_image = of_image.select("same", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.coalesce("component", "rep").alias("component"))
     out = seen.select("id", "same").join(of_image, "same", "left")
