@@ -418,3 +418,19 @@ def test_near_vectors_against_all_pairs(spark):
     assert all(out[i] == (i, 0, i) for i in range(2001, 2006))
     assert out[2006] == (2006, 1, 2006) and out[2007] == (2007, 1, 2006)
     assert pivot_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [1500, 6000])
+def test_near_vectors_of_a_dense_group(spark, n):
+    """A third of the vectors are noise about one centre: the links within are found at every size."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, 64))
+    noise = rng.normal(size=(n // 3, 64))
+    centre = rng.normal(size=64)
+    x[: n // 3] = np.sqrt(0.955) * centre / np.linalg.norm(centre) + np.sqrt(0.045) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in pivot_dedup.near_vectors(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert all(found[i] <= want[i] for i in range(n))
+    assert sum(found.values()) >= 0.9 * want.sum()

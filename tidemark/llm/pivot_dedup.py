@@ -7,7 +7,8 @@ pivot (by number) that both name. Long lists are cut into portions, and every pa
 so no list is ever in one task. Equal vectors are one point with a multiplicity: they are never paired.
 
 The pivots are at most `most_pivots` and grow with the vectors, so that lists stay short; they are a bounded sample,
-but every vector is indexed.
+but every vector is indexed. None has a cosine of APART or more with another: a dense group holds few of them, however
+many vectors it has, so its members name the same ones and all of its pairs are verified.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with nothing; so do
 those whose id is null; vectors of different lengths never link (there is an index for each length); rows with one id
@@ -25,6 +26,8 @@ from .common import Stored, components
 
 #: Rows of a portion of a list.
 PORTION = 1000
+#: Pivots have a cosine below this with each other.
+APART = 0.85
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -96,10 +99,10 @@ def links(points: DataFrame, pivots: np.ndarray, threshold: float, named: int, s
         k = len(lists_.flatten()) // len(table)
         names = np.sort(lists_.flatten().to_numpy().reshape(-1, k), axis=1)
         times = table.column("times").to_numpy()
-        marks = np.zeros((len(x), m), dtype=np.float32)
-        np.put_along_axis(marks, names, 1, axis=1)
-        before = marks.copy()
-        before[:, pivot:] = 0
+        named_here, place = np.unique(names, return_inverse=True)
+        marks = np.zeros((len(x), len(named_here)), dtype=np.float32)
+        np.put_along_axis(marks, place.reshape(names.shape), 1, axis=1)
+        before = marks[:, named_here < pivot]
         # candidates: enough shared pivots, of which this list's is the first
         candidate = (marks @ marks.T >= min(shared, k)) & (before @ before.T == 0)
         np.fill_diagonal(candidate, False)
@@ -119,9 +122,15 @@ def links(points: DataFrame, pivots: np.ndarray, threshold: float, named: int, s
 
 
 def choose_pivots(points: DataFrame, n: int, dim: int) -> np.ndarray:
-    """n points with the least hashes."""
+    """The n points with the least hashes, without those that are near to one before."""
     found = points.select("point", F.xxhash64("point").alias("h")).orderBy("h").limit(n).select("point").toArrow()
-    return _unit(_matrix(found.column("point").combine_chunks(), dim))
+    drawn = _unit(_matrix(found.column("point").combine_chunks(), dim))
+    pivots, n = np.empty_like(drawn), 0
+    for x in drawn:
+        if not n or (pivots[:n] @ x).max() < APART:
+            pivots[n] = x
+            n += 1
+    return pivots[:n]
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, named: int = 10, shared: int = 2, most_pivots: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
