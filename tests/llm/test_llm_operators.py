@@ -126,6 +126,16 @@ def test_image_copies_with_later_ids(spark):
     assert out == {i: i if i < 1000 else i - 40 for i in range(1040)}
 
 
+def test_corners_that_agree_in_repeated_lines():
+    """A line repeated 400 times: every match counts towards the shift."""
+    line = np.random.default_rng(3).integers(0, 255, (12, 48), dtype=np.uint8)
+    page = np.tile(line, (400, 1))
+    edited = page.copy()
+    edited[2000:2010, 5:20] = 7
+    a, b = image_copies.describe(page), image_copies.describe(edited)
+    assert image_copies.agreeing(*a, *b) >= 0.9 * len(a[1])
+
+
 # -- 3 and 6 ----------------------------------------------------------------------------------------------------------
 
 

@@ -40,6 +40,8 @@ MOST_BROADCAST = 400_000
 THIN_CORNERS, THIN_ENTRIES = 2, 4
 #: How far off (in pixels of the scale) the other corner of an entry lies at most.
 REACH = 16
+#: About so many votes of a pair of images are counted at a time.
+VOTES = 1_000_000
 #: Images and corners of a portion of an entry.
 PORTION, PORTION_CORNERS = 250, 50_000
 _random = np.random.default_rng(11)
@@ -137,27 +139,47 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def agreeing(corners_a: np.ndarray, strings_a: np.ndarray, corners_b: np.ndarray, strings_b: np.ndarray, near: int = 3) -> int:
     """How many corners of a match corners of b under the most popular scale and shift."""
-    votes = []
+    # strings that an image repeats are compared once
+    own, of_a = np.unique(strings_a, return_inverse=True)
+    other, of_b = np.unique(strings_b, return_inverse=True)
+    met = []
     for shift in (0, 16, 32, 48):
-        ka, kb = strings_a >> np.uint64(shift) & np.uint64(0xFFFF), strings_b >> np.uint64(shift) & np.uint64(0xFFFF)
+        ka, kb = own >> np.uint64(shift) & np.uint64(0xFFFF), other >> np.uint64(shift) & np.uint64(0xFFFF)
         order = np.argsort(kb, kind="stable")
-        low, high = np.searchsorted(kb[order], ka), np.searchsorted(kb[order], ka, side="right")
-        n = np.minimum(high - low, 64)  # a string that one image repeats over and over says little about a shift
+        low, n = np.searchsorted(kb[order], ka), np.searchsorted(kb[order], ka, side="right")
+        n -= low
         i = np.repeat(np.arange(len(ka)), n)
         j = order[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        differ = strings_a[i] ^ strings_b[j]
+        differ = own[i] ^ other[j]
         distance = sum(_POPCOUNT[(differ >> np.uint64(s) & np.uint64(0xFFFF)).astype(np.int64)].astype(np.int64) for s in (0, 16, 32, 48))
-        ok = distance <= near
-        i, j = i[ok], j[ok]
-        sa, sb = corners_a[i, 2], corners_b[j, 2]
-        scale = 2 * np.log2(sb / sa)
-        dy = np.rint((corners_b[j, 0] - corners_a[i, 0] * sb / sa) / 4)
-        dx = np.rint((corners_b[j, 1] - corners_a[i, 1] * sb / sa) / 4)
-        votes.append(np.stack([scale, dy, dx, i], axis=1))
-    votes = np.unique(np.concatenate(votes), axis=0)
-    if not len(votes):
+        met.append((i * len(other) + j)[distance <= near])
+    met = np.unique(np.concatenate(met))
+    if not len(met):
         return 0
-    _, counts = np.unique(votes[:, :3], axis=0, return_counts=True)
+    u, v = met // len(other), met % len(other)
+    first, last = np.searchsorted(u, np.arange(len(own))), np.searchsorted(u, np.arange(len(own)), side="right")
+    places = np.argsort(of_b, kind="stable")
+    times = np.bincount(of_b, minlength=len(other))
+    begin = np.cumsum(times) - times
+    work = np.bincount(u, weights=times[v], minlength=len(own)).astype(np.int64)[of_a]
+    bins, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # a block of corners of a at a time: each corner is in one block, so the counts of the blocks add up
+    block = np.cumsum(work) // VOTES
+    for at in np.split(np.arange(len(of_a)), np.flatnonzero(np.diff(block)) + 1):
+        some = last[of_a[at]] - first[of_a[at]]
+        i = np.repeat(at, some)
+        k = v[np.repeat(first[of_a[at]], some) + np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)]
+        n = times[k]
+        j = places[np.repeat(begin[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        i = np.repeat(i, n)
+        sa, sb = corners_a[i, 2], corners_b[j, 2]
+        scale = np.rint(2 * np.log2(sb / sa)).astype(np.int64) + 8
+        dy = np.rint((corners_b[j, 0] - corners_a[i, 0] * sb / sa) / 4).astype(np.int64) + (1 << 26)
+        dx = np.rint((corners_b[j, 1] - corners_a[i, 1] * sb / sa) / 4).astype(np.int64) + (1 << 26)
+        where, place = np.unique(scale << 54 | dy << 27 | dx, return_inverse=True)
+        votes = np.unique(place * len(of_a) + i) // len(of_a)
+        bins, place = np.unique(np.concatenate([bins, where]), return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate([counts, np.bincount(votes, minlength=len(where))]), minlength=len(bins)).astype(np.int64)
     return int(counts.max())
 
 
