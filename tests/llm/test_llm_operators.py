@@ -136,6 +136,26 @@ def test_corners_that_agree_in_repeated_lines():
     assert image_copies.agreeing(*a, *b) >= 0.9 * len(a[1])
 
 
+def test_image_copies_of_few_corners(spark):
+    """Equal images without corners are one class, and edited copies of images of few corners are found."""
+    rng = np.random.default_rng(6)
+    flat, other = (rng.integers(0, 255, (4, 48), dtype=np.uint8) for _ in range(2))
+    rows = [(1, 48, flat.tobytes()), (2, 48, flat.tobytes()), (3, 48, other.tobytes()), (4, 48, b""), (5, 48, b"")]
+    at = 10
+    while at < 50:
+        small = rng.integers(0, 255, (13, 24), dtype=np.uint8)
+        edited = small.copy()
+        edited[:2, -2:] = 0
+        n = len(image_copies.describe(small)[1])
+        if 4 <= n < 8 and len(image_copies.describe(edited)[1]) == n:
+            rows += [(at, 24, small.tobytes()), (at + 1, 24, edited.tobytes())]
+            at += 2
+    out = {r["id"]: r["class_id"] for r in image_copies.find_copies(spark.createDataFrame(rows, "id long, width int, pixels binary")).collect()}
+    assert [out[i] for i in range(1, 6)] == [1, 1, 3, 4, 5]
+    assert sum(out[i + 1] == i for i in range(10, 50, 2)) >= 18
+    assert all(out[i] == i for i in range(10, 50, 2))
+
+
 # -- 3 and 6 ----------------------------------------------------------------------------------------------------------
 
 

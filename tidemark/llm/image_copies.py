@@ -7,14 +7,15 @@ other corner, so entries stay short however many images there are. Entries with
 share an entry are compared: the matching corners vote for a scale and a shift, and the images are linked if enough
 corners of the smaller one agree on one. Classes are the components of the links; equal images are one image until the
 end. Images of an entry first meet its first image; of entries that then lie in several components every pair of
-different components is decided, in portions of which only a forest of the links leaves a task. Corners and entries
+different components is decided, in portions of which only a forest of the links leaves a task. Entries
 are thinned out by hashes of their own contents, so copies keep the same ones wherever the region lies.
 
 The tables here have no images, so the media column is made from `pages`: render_pages() draws the visible text, one
 paragraph below the other, each word a cell of its own grey. A page that repeats another's paragraphs, or a part of them, is an image
 that shows the same region elsewhere.
 
-Defined results: null, empty and malformed images, and those without corners, are alone; one row per input row; rows
+Defined results: null, empty and malformed images are alone; images of fewer than three corners have their equals
+only; one row per input row; rows
 with a null id are alone; an empty table gives no rows; other columns are not read.
 """
 
@@ -36,8 +37,10 @@ SCALES = (1, 2)
 RADIUS = 4
 #: Up to so many distinct images their digests are broadcast (about 50 MB); beyond that they are joined by shuffling.
 MOST_BROADCAST = 400_000
-#: One in so many corners is kept, and one in so many table entries, picked by hashes of what they hold: copies keep the same.
-THIN_CORNERS, THIN_ENTRIES = 2, 4
+#: One in so many table entries is kept, picked by hashes of what they hold: copies keep the same.
+THIN_ENTRIES = 4
+#: Images with fewer corners have equal images only.
+FEWEST = 3
 #: How far off (in pixels of the scale) the other corner of an entry lies at most.
 REACH = 16
 #: About so many votes of a pair of images are counted at a time.
@@ -129,9 +132,8 @@ def describe(image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = smooth[ty, tx]
         bits = values[:, :, 0] < values[:, :, 1]
         string = np.packbits(bits, axis=1).view("<u8").ravel()
-        keep = mix(string) % np.uint64(THIN_CORNERS) == 0
-        strings.append(string[keep])
-        found.append(np.stack([y * scale, x * scale, np.full(len(y), scale)], axis=1)[keep])
+        strings.append(string)
+        found.append(np.stack([y * scale, x * scale, np.full(len(y), scale)], axis=1))
     if not found:
         return np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
     return np.concatenate(found), np.concatenate(strings)
@@ -218,8 +220,9 @@ def entries_of(corners: np.ndarray, strings: np.ndarray) -> np.ndarray:
 
 
 def needed(m: int, n: np.ndarray, least: int, share: float) -> np.ndarray:
-    """How many corners must agree in images of m and n corners."""
-    return np.maximum(least, share * np.minimum(m, n))
+    """How many corners must agree in images of m and n corners: of few corners three quarters, FEWEST at least."""
+    few = np.minimum(m, n)
+    return np.maximum(np.clip(0.75 * few, FEWEST, max(least, FEWEST)), share * few)
 
 
 def met_in_entries(rows: DataFrame, least: int, share: float) -> DataFrame:
@@ -275,7 +278,8 @@ def met_in_entries(rows: DataFrame, least: int, share: float) -> DataFrame:
 def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFrame:
     """(id, class_id, n_corners, kept) of images (id, width, pixels).
 
-    Two images are linked if at least `least` corners, and at least `share` of the corners of the one with fewer, agree.
+    Two images are linked if at least `least` corners (in images of few: see needed()), and at least `share` of the corners of the one with
+    fewer, agree.
     """
     kind = images.schema["id"].dataType.simpleString()
     digest = F.sha2(F.concat(F.coalesce(F.col("width").cast("string"), F.lit("")).cast("binary"), F.lit(":").cast("binary"), F.coalesce("pixels", F.lit(b""))), 256)
@@ -297,9 +301,10 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
     reps = firsts.select("same", F.col("rep").alias("id"))
     once = wide.df.join(F.broadcast(reps) if few else reps, ["same", "id"], "left_semi").select("id", "same", "width", "pixels")
     known = Stored(once.mapInArrow(described, f"id {kind}, same string, corners array<long>, strings array<long>, tables array<long>")).df
-    seen = Stored(wide.df.select("id", "same")).df
+    whole_ = F.coalesce((F.col("width") > 0) & (F.length("pixels") > 0) & (F.length("pixels") % F.when(F.col("width") > 0, F.col("width")) == 0), F.lit(False))
+    seen = Stored(wide.df.select("id", "same", whole_.alias("whole"))).df
     wide.drop()
-    entries = known.where(F.size("strings") >= least).select("id", F.explode("tables").alias("entry"))
+    entries = known.where(F.size("strings") >= FEWEST).select("id", F.explode("tables").alias("entry"))
     held = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("all")).where("hub < last")
     buckets = held.groupBy("hub", "last", "n", "all").agg(F.min("entry").alias("entry")).select("entry", "hub", "n")
     members = Stored(entries.join(buckets, "entry")).df
@@ -327,6 +332,6 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
         part = components(links.union(more))
     of_image = firsts.join(known.groupBy(F.col("id").alias("rep")).agg(F.max(F.size("strings")).alias("n_corners")), "rep", "left").join(part.withColumnRenamed("node", "rep"), "rep", "left")
     of_image = of_image.select("same", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.coalesce("component", "rep").alias("component"))
-    out = seen.select("id", "same").join(of_image, "same", "left")
-    alone = F.col("id").isNull() | (F.coalesce("n_corners", F.lit(0)) == 0)
+    out = seen.join(of_image, "same", "left")
+    alone = F.col("id").isNull() | ~F.col("whole")
     return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("component")).alias("class_id"), F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners")).withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
