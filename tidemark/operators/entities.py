@@ -66,7 +66,9 @@ def pair_dates(left: DataFrame, right: DataFrame, key: str, near: int = PAIR_TOL
     At most `near` days apart, of different labels, and the right label must not itself occur on the left within
     `clear` days. Per left row the nearest, earliest, first-labelled one.
     """
-    around = right.select(F.col(key).alias("_key"), F.col("label").alias("other_label"), F.col("on_date").alias("other_date")).distinct()
+    # of one label and day only the least key can win, so a hot day is joined as its labels
+    around = right.groupBy(F.col("label").alias("other_label"), F.col("on_date").alias("other_date")).agg(F.min(F.struct(F.col(key).alias("k"))).alias("_key"))
+    around = around.select(F.col("_key.k").alias("_key"), "other_label", "other_date")
     spread = around.withColumn("on_date", F.explode(F.sequence(F.date_sub("other_date", near), F.date_add("other_date", near))))
     pairs = left.distinct().join(spread, "on_date").where(F.col("label") != F.col("other_label"))
     listed = left.select(F.col("label").alias("other_label"), F.explode(F.sequence(F.date_sub("on_date", clear), F.date_add("on_date", clear))).alias("on_date")).distinct()

@@ -420,6 +420,14 @@ def band_pairing(spark, sf):
     return entities.pair_dates(left, right, "company_id")
 
 
+@query()
+def band_pairing_whole(spark, sf):
+    """All finished orders against all open ones, priority and customer as label; no SQL, tests compare it with all pairs."""
+    o = w.table(spark, sf, "orders").select("o_orderstatus", F.col("o_custkey").alias("company_id"), F.concat_ws("-", "o_orderpriority", "o_custkey").alias("label"), F.to_date("o_orderdate").alias("on_date"))
+    left, right = o.where("o_orderstatus = 'F'").drop("o_orderstatus"), o.where("o_orderstatus = 'O'").drop("o_orderstatus")
+    return entities.pair_dates(left, right, "company_id")
+
+
 @query(
     f"""WITH {w.CLAIMS_CTE}, d AS (SELECT company_id, effective_date AS on_date, min(label) FILTER (action = 'REMOVE') AS old, max(label) FILTER (action = 'REMOVE') AS o2, min(label) FILTER (action = 'ADD') AS new, max(label) FILTER (action = 'ADD') AS n2 FROM claims GROUP BY ALL)
     SELECT company_id, on_date, old, new FROM d WHERE old = o2 AND new = n2 AND old <> new"""
