@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a shared folder")
     key = id(spark.sparkContext)
     if key not in _own_dirs:
         _own_dirs[key] = tempfile.mkdtemp(prefix="tidemark-")
@@ -135,35 +138,50 @@ def in_parts(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
         yield batch.slice(begin)
 
 
+# -- keys that many rows share ----------------------------------------------------------------------------------------
+
+#: Rows of one key beyond which they are dealt to several tasks, and the most keys that can have so many.
+HEAVY, MOST_HEAVY = 1000, 100_000
+
+
+def heavy_from(n: int) -> int:
+    """From how many rows a key is heavy in n rows: at most MOST_HEAVY keys are, so their list may be broadcast."""
+    return max(HEAVY, -(-n // MOST_HEAVY))
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: list[str], heavy: int, how: str = "inner") -> DataFrame:
+    """many joined with one (a row per key). The rows of a key that more than `heavy` rows of many share are dealt by a
+    hash of `by` to several tasks, each with a copy of the key's row of one. how is inner or left."""
+    cuts = many.groupBy(key).agg(F.ceil(F.count("*") / heavy).cast("int").alias("_cut")).where("_cut > 1")
+    cuts = F.broadcast(cuts)  # at most as many rows as many / heavy
+    dealt = many.join(cuts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), F.coalesce("_cut", F.lit(1))).cast("int")).drop("_cut")
+    copied = one.join(cuts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_cut", F.lit(1)) - 1))).drop("_cut")
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 # -- connected components ---------------------------------------------------------------------------------------------
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) of every node of edges (a, b): component is the smallest node reachable.
+    """(node, component) of every node of edges (a, b) that has a neighbour; component is the smallest node reachable.
 
-    Each round hooks every node's label to the smallest label next to it, then halves the paths; labels stand in the
-    shared folder between rounds. All shuffles are counted per node and neighbour minimum first, so a hub with
-    millions of edges is summed up before it moves.
+    Large-star and small-star in turn: each edge moves to the least neighbour of its lower end, then the lower
+    neighbours of a node are all tied to the least of them, until every node has one lower neighbour that has none.
+    Minima are taken before anything moves, and the edges of a node with very many are dealt to several tasks.
     """
-    edges = edges.select("a", "b").where(F.col("a") != F.col("b"))
-    both = Stored(edges.union(edges.select(F.col("b"), F.col("a"))).distinct())
-    first = both.df.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-    labels = Stored(first.select("node", F.least("node", "low").alias("component")))
+    now = Stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    heavy = heavy_from(now.df.count())
     for _ in range(rounds):
-        known = labels.df
-        near = both.df.join(known.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low"))
-        # the label of a node also passes on what its neighbours know to the node that it is named after
-        hooked = known.join(near, "node").select("node", "component", F.least("component", "low").alias("low"))
-        root = hooked.groupBy(F.col("component").alias("node")).agg(F.min("low").alias("of_root"))
-        moved = hooked.join(root, "node", "left").select("node", "component", F.least("low", F.coalesce("of_root", "low")).alias("low"))
-        jump = moved.select(F.col("node").alias("low"), F.col("low").alias("further"))
-        halved = moved.join(jump, "low", "left").select("node", F.col("component").alias("was"), F.least("low", F.coalesce("further", "low")).alias("component"))
-        after = Stored(halved)
-        changed = after.df.where(F.col("was") != F.col("component")).limit(1).count()
-        labels.drop()
-        labels = after
-        if not changed:
-            break
-    else:
-        raise RuntimeError("components() needs more rounds")
-    return labels.df.select("node", "component")
+        e = now.df
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        if not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").limit(1).count():
+            nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return nodes.union(e.select("v", "v").distinct())
+        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        large = spread_join(e, low.select(F.col("u").alias("v"), "m"), "v", ["u"], heavy, "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = spread_join(large, least, "u", ["v"], heavy).where("v <> m").select("v", "m").union(least.select("u", "m"))
+        after = Stored(small.toDF("u", "v").distinct())
+        now.drop()
+        now = after
+    raise RuntimeError("components() needs more rounds")

@@ -12,9 +12,12 @@ holds several components, all its pairs that lie in two of them are decided exac
 forest of the links: no task's output grows faster than its input, and long buckets are cut into portions. Copies of one
 text are one document until the end.
 
+Inside, a document is its row's number, so ids may repeat: rows that share an id but not a text are documents of
+their own. A bucket, text or class that very many rows share is dealt to several tasks wherever rows meet by it.
+
 Defined results: null and empty texts, and those of white space only, are alone; texts of fewer than five words have
-one shingle, all their words; one row per input row; rows with a null id are alone, their class null; other columns
-are not read.
+one shingle, all their words; one row per input row; rows with a null id are alone, their class null; of repeated
+rows of one id and text each is a row of the class; empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, in_parts, mix, text_bytes, word_hashes, words
+from .common import WORD, Stored, components, heavy_from, in_parts, mix, spread_join, text_bytes, word_hashes, words
 
 WIDTH, K, ROWS = 5, 120, 5
 #: Documents and shingles of a portion of a bucket.
@@ -134,10 +137,10 @@ def described(docs: DataFrame, id_col: str, text_col: str, k: int, rows: int, we
     return rows_in.mapInArrow(of, f"id {kind}, copy_of string, bands array<long>, shingles array<int>")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) of pairs whose sets (id, shingles) are similar enough, by exact Jaccard similarity."""
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("_x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("_y")), "b")
+def similar(pairs: DataFrame, sets: DataFrame, threshold: float, heavy: int) -> DataFrame:
+    """The (a, b) of pairs whose sets (row, shingles) are similar enough, by exact Jaccard similarity."""
+    left = spread_join(pairs, sets.select(F.col("row").alias("a"), F.col("shingles").alias("_x")), "a", ["b"], heavy)
+    both = left.join(sets.select(F.col("row").alias("b"), F.col("shingles").alias("_y")), "b")
     common = F.size(F.array_intersect("_x", "_y"))
     return both.where(common >= F.lit(threshold) * (F.size("_x") + F.size("_y") - common) - 1e-9).select("a", "b")
 
@@ -173,21 +176,21 @@ def spanning(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
-def met_in_buckets(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that span those between different components within the buckets of (bucket, id, component, shingles).
+def met_in_buckets(rows: DataFrame, buckets: DataFrame, sets: DataFrame, threshold: float, heavy: int) -> DataFrame:
+    """(a, b): links that span those between different components within the buckets.
 
-    Every pair of a bucket that lies in two components is decided exactly, but only a forest of the links leaves a task.
-    A bucket is cut into portions by numbers of documents and shingles; each pair of portions is a task.
+    rows: (bucket, row, component); buckets: (bucket, cut), a bucket's number of portions; sets: (row, shingles). Every
+    pair of a bucket that lies in two components is decided exactly, but only a forest of the links leaves a task.
+    Each pair of portions is a group of its own.
     """
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / PORTION, F.sum(F.size("shingles")) / PORTION_SHINGLES)).cast("int").alias("cut"))
-    cut = rows.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("cut")).cast("int"))
+    cut = spread_join(rows, buckets, "bucket", ["row"], heavy).withColumn("mine", F.pmod(F.xxhash64("row"), F.col("cut")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    cut = cut.select("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "id", "component", "shingles")
-    kind = rows.schema["id"].dataType.simpleString()
+    met = F.struct("bucket", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q")).alias("met")
+    cut = cut.select(met, "row", "component").join(sets, "row")
 
     def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids = table.column("id").combine_chunks()
+        ids = table.column("row").combine_chunks()
         _, part = np.unique(table.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
         lists = table.column("shingles").combine_chunks()
         offsets = lists.offsets.to_numpy()
@@ -198,43 +201,64 @@ def met_in_buckets(rows: DataFrame, threshold: float) -> DataFrame:
         joined = np.flatnonzero(label != np.arange(len(label)))
         return pa.table([ids.take(pa.array(label[joined])), ids.take(pa.array(joined))], names=["a", "b"])
 
-    return cut.groupBy("bucket", "p", "q").applyInArrow(of, f"a {kind}, b {kind}")
+    return cut.groupBy("met").applyInArrow(of, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = K, rows: int = ROWS, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, kept) per row of docs; class_id is the least id of the class, kept marks that document."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    seen = Stored(described(docs, id_col, text_col, k, rows, weighted))
-    copies = Stored(seen.df.select("copy_of", "id", F.size("bands").alias("n")).groupBy("copy_of").agg(F.min("id").alias("rep"), F.max("n").alias("n"))).df
-    firsts = seen.df.select("copy_of", "id", "bands").join(copies.where("n > 0").select("copy_of", F.col("rep").alias("id")), ["copy_of", "id"], "left_semi")
-    banded = firsts.select("id", F.explode("bands").alias("bucket"))
-    buckets = Stored(banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("bucket", "hub")).df
-    members = Stored(banded.join(buckets, "bucket").distinct()).df
-    ids = Stored(members.select("id").distinct()).df
+def classes(docs: DataFrame, threshold: float, k: int, rows: int, weighted: bool, id_col: str, text_col: str) -> DataFrame:
+    """(id, copy_of, row, class_row, class_id) of the rows with an id; class_id is the least id of the class, class_row a
+    number of the class that no other has."""
+    seen = Stored(described(docs, id_col, text_col, k, rows, weighted).withColumn("row", F.monotonically_increasing_id()))
+    heavy = heavy_from(seen.df.count() * (k // rows))
+    copies = Stored(seen.df.where(F.size("bands") > 0).select("copy_of", "id", "row").groupBy("copy_of").agg(F.min("id").alias("least_id"), F.min("row").alias("rep"))).df
+    firsts = seen.df.select("row", "bands", F.size("shingles").alias("m")).join(copies.select(F.col("rep").alias("row")), "row", "left_semi")
+    banded = firsts.select("row", "m", F.explode("bands").alias("bucket"))
+    buckets = Stored(banded.groupBy("bucket").agg(F.min("row").alias("hub"), F.max("row").alias("last")).where("hub < last").select("bucket", "hub")).df
+    members = Stored(spread_join(banded, buckets, "bucket", ["row"], heavy).distinct()).df
+    ids = Stored(members.select("row").distinct()).df
     few = ids.count() <= MOST_BROADCAST
-    active = Stored(seen.df.select("id", "shingles").join(F.broadcast(ids) if few else ids, "id", "left_semi")).df
-    whole = Stored(seen.df.select("id", "copy_of")).df
+    active = Stored(seen.df.select("row", "shingles").join(F.broadcast(ids) if few else ids, "row", "left_semi")).df
+    whole = Stored(seen.df.select("id", "copy_of", "row")).df
     seen.drop()
     # a document first meets the least of its hubs; most buckets are in one component after that
-    tested = Stored(members.where("id != hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))).df
-    linked = Stored(similar(tested, active, threshold)).df
-    known = components(linked)
-    placed = members.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("bucket", "hub").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("id").alias("last"), F.count("*").alias("n")).where("low < high")
+    tested = Stored(members.where("row <> hub").groupBy(F.col("row").alias("b")).agg(F.min("hub").alias("a"))).df
+    linked = Stored(similar(tested, active, threshold, heavy)).df
+    known = Stored(components(linked)).df
+    placed = members.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    cut = F.ceil(F.greatest(F.count("*") / PORTION, F.sum("m") / PORTION_SHINGLES)).cast("int")
+    mixed = placed.groupBy("bucket", "hub").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("row").alias("last"), F.count("*").alias("n"), cut.alias("cut")).where("low < high")
     # of a bucket of two nothing is left to test if its pair has been
-    untested = mixed.where("n = 2").join(tested.toDF("last", "hub"), ["last", "hub"], "left_anti").select("bucket").union(mixed.where("n > 2").select("bucket"))
-    open_ones = placed.join(untested, "bucket").select("bucket", "id", "component").join(active, "id")
-    more = Stored(met_in_buckets(open_ones, threshold)).df
+    untested = mixed.where("n = 2").join(tested.toDF("last", "hub"), ["last", "hub"], "left_anti").select("bucket", "cut").union(mixed.where("n > 2").select("bucket", "cut"))
+    more = Stored(met_in_buckets(placed.select("bucket", "row", "component"), untested, active, threshold, heavy)).df
     if more.limit(1).count():
-        known = components(linked.union(more))
-    of_copy = copies.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("copy_of", "n", F.coalesce("component", "rep").alias("component"))
-    named = whole.join(of_copy, "copy_of").select("id", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("class_id"))
-    alone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.lit(None).cast(kind).alias("class_id"))
+        known = Stored(components(linked.union(more))).df
+    of_copy = Stored(copies.join(known.withColumnRenamed("node", "rep"), "rep", "left").select("copy_of", "least_id", F.coalesce("component", "rep").alias("class_row"))).df
+    least = of_copy.groupBy("class_row").agg(F.min("least_id").alias("class_id"))
+    named = spread_join(of_copy.drop("least_id"), least, "class_row", ["copy_of"], heavy)
+    # texts without words are in no class with others
+    found = spread_join(whole, named, "copy_of", ["row"], heavy, "left")
+    return found.select("id", "copy_of", "row", F.coalesce("class_row", "row").alias("class_row"), F.coalesce("class_id", "id").alias("class_id"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = K, rows: int = ROWS, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, kept) per row of docs; class_id is the least id of the class, kept marks that document."""
+    named = classes(docs, threshold, k, rows, weighted, id_col, text_col).select("id", "class_id")
+    alone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.col(id_col).alias("class_id"))
     return named.union(alone).select(F.col("id").alias(id_col), "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The rows of docs of which one per class is left; of repeated rows with one id the first only."""
-    kept = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    """The rows of docs of which one per class is left: the one with the least id.
+
+    Rows with a null id, and those without words, all stay. Of repeated rows of one id and text one stays. Rows that
+    share an id but have different texts are documents of their own.
+    """
+    worded = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    found = Stored(classes(docs.where(worded), threshold, K, ROWS, False, "doc_id", "text")).df
+    # a class's rows of its least id can be of several texts: one of them is taken
+    of_id = found.where(F.col("id") == F.col("class_id")).groupBy("class_row", "id", "copy_of").agg(F.count("*").alias("n"))
+    taken = of_id.groupBy("class_row").agg(F.min(F.struct("id", "copy_of", "n")).alias("x")).select(F.col("x.id").alias("_id"), F.col("x.copy_of").alias("_text"), F.col("x.n").alias("_n"))
+    on = (F.col("doc_id") == F.col("_id")) & (F.md5("text") == F.col("_text"))
+    once = docs.where(worded).join(taken.where("_n = 1"), on, "left_semi")
+    repeated = docs.where(worded).join(taken.where("_n > 1"), on, "left_semi")
+    one = repeated.withColumn("_text", F.md5("text")).dropDuplicates(["doc_id", "_text"])
+    return once.unionByName(one.select(docs.columns)).unionByName(docs.where(~worded))
