@@ -390,23 +390,50 @@ def test_packing_round_trip(spark):
     assert len(sequences) <= -(-sum(r["length"] for r in out) // 4096) + 1
 
 
-def test_plan_is_near_the_bound():
-    random.seed(8)
-    counts = {}
-    for _ in range(3000):
-        length = min(100, 1 + int(random.expovariate(1 / 25)))
-        counts[length] = counts.get(length, 0) + 50
-    made = best_fit_packing.plan(counts, 100)
+def packed(made, capacity):
     held = {}
     for configuration, n in made:
-        assert sum(k * m for k, m in configuration.items()) <= 100
+        assert sum(k * m for k, m in configuration.items()) <= capacity
         for k, m in configuration.items():
             held[k] = held.get(k, 0) + n * m
-    assert held == counts
-    total = sum(k * n for k, n in counts.items())
-    assert sum(n for _, n in made) <= 1.001 * total / 100 + 1
-    best, pick = best_fit_packing.price(np.array([0, 1.0, 2.5, 0]), 3)
-    assert best.tolist() == [0, 1, 2.5, 3.5]
+    return held
+
+
+@pytest.mark.parametrize("n", [5_000, 277_000])
+def test_most_sequences_stem_from_the_program(n):
+    lengths = np.clip(np.random.default_rng(8).lognormal(5.3, 1.1, n).astype(int), 2, 4096)
+    counts = dict(zip(*map(np.ndarray.tolist, np.unique(lengths, return_counts=True)), strict=True))
+    made, program = best_fit_packing.plan(counts, 4096)
+    assert packed(made, 4096) == counts
+    total = sum(m for _, m in made)
+    assert program > 0.9 * total
+    assert total <= sum(m for _, m in best_fit_packing.best_fit(counts, 4096)) and total <= 1.001 * lengths.sum() / 4096 + 1
+
+
+@pytest.mark.parametrize("counts", [{}, {7: 1}, {100: 3}, {60: 50, 51: 4}, {1: 1000}, {30: 7, 40: 5, 33: 9}])
+def test_plan_of_few_lengths(counts):
+    made, _ = best_fit_packing.plan(counts, 100)
+    assert packed(made, 100) == counts
+    assert sum(m for _, m in made) <= sum(m for _, m in best_fit_packing.best_fit(counts, 100))
+
+
+def test_price_is_the_best_filling():
+    lengths, worth = np.array([2, 3, 7]), np.array([2.0, 3.5, 8.0])
+    pick = best_fit_packing.price(lengths, worth, np.zeros(3), 20, 0.0, np.random.default_rng(1))
+    for c in range(21):
+        left, got = c, 0.0
+        while left:
+            k = pick[left]
+            got += worth[lengths == k].sum()
+            left -= k or 1
+        assert got == max(2 * a + 3.5 * b + 8 * d for a in range(11) for b in range(7) for d in range(3) if 2 * a + 3 * b + 7 * d <= c)
+
+
+def test_packing_of_odd_tables(spark):
+    docs = docs_of(spark, ODD)
+    out = best_fit_packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json")).collect()
+    assert sum(r["doc_id"] is None for r in out) == 1 and sum(r["doc_id"] == 6 and r["piece"] == 0 for r in out) == 2
+    assert best_fit_packing.pack_documents(docs.limit(0), tokenizer_file("word_bpe_49k.json")).count() == 0
 
 
 # -- 9 ----------------------------------------------------------------------------------------------------------------
