@@ -185,15 +185,70 @@ def test_classifiers_on_held_out_rows(which):
     assert model.scores(*text_bytes(pa.array([None, "", "x"]))).shape == (3,)
 
 
-def test_label_model_downweights_copies_of_a_voter():
+def voted(n=3000):
     rng = np.random.default_rng(0)
-    y = rng.random(2000) < 0.3
-    good, other = (rng.random(2000) < np.where(y, 0.8, 0.05)), (rng.random(2000) < np.where(y, 0.7, 0.1))
-    votes = np.stack([good, other, other, other], axis=1)
-    model = toxicity.fit_label_model(votes, np.where(rng.random(2000) < 0.5, y, -1))
-    assert model.voice[0] > 0.8 and model.voice[1] < 0.5
-    assert abs(model.on_toxic[0] - 0.8) < 0.1 and model.on_other[0] < 0.1
-    assert ((model.posterior(votes.astype(float)) > 0.5) == y).mean() > 0.9
+    y = (rng.random(n) < 0.3).astype(int)
+    good, other = (rng.random(n) < np.where(y, 0.8, 0.05)), (rng.random(n) < np.where(y, 0.7, 0.1))
+    return rng, y, good, other
+
+
+def test_label_model_counts_copies_of_a_voter_once():
+    rng, y, good, other = voted()
+    known = np.where(rng.random(len(y)) < 0.5, y, -1)
+    once, thrice = np.stack([good, other], axis=1), np.stack([good, other, other, other], axis=1)
+    a, b = toxicity.fit_label_model(once, known), toxicity.fit_label_model(thrice, known)
+    assert abs(a.on_toxic[0] - 0.8) < 0.1 and a.on_other[0] < 0.1
+    sides = (a.posterior(once.astype(float)) > 0.5) == (b.posterior(thrice.astype(float)) > 0.5)
+    assert sides.all() and ((a.posterior(once.astype(float)) > 0.5) == y).mean() > 0.9
+    # without the covariance's other entries the copies would outvote the better voter
+    alone = toxicity.LabelModel(b.on_toxic, b.on_other, np.diag(np.diag(b.covariance)), b.prior)
+    assert not ((alone.posterior(thrice.astype(float)) > 0.5) == (b.posterior(thrice.astype(float)) > 0.5)).all()
+
+
+def test_posterior_by_a_plain_loop():
+    rng, y, good, other = voted(500)
+    votes = np.stack([good, other, good & other], axis=1).astype(float)
+    model = toxicity.fit_label_model(votes, np.where(rng.random(len(y)) < 0.5, y, -1))
+    inverse = np.linalg.inv(model.covariance)
+    for v, p in zip(votes[:50], model.posterior(votes[:50])):
+        chance = []
+        for rates, share in ((model.on_toxic, model.prior), (model.on_other, 1 - model.prior)):
+            far = 0.0
+            for i in range(3):
+                for j in range(3):
+                    far += (v[i] - rates[i]) * inverse[i, j] * (v[j] - rates[j])
+            chance.append(share * np.exp(-far / 2))
+        assert abs(p - chance[0] / sum(chance)) < 1e-9
+
+
+def test_classifier_learns_the_posteriors(monkeypatch):
+    texts, _, toxic = labelled(600)
+    rng = np.random.default_rng(3)
+    wrong = np.where(rng.random(400) < 0.15, 1 - toxic[:400], toxic[:400])
+    raw, offsets = text_bytes(pa.array(texts[400:]))
+    scores = toxicity.train(texts[:400], wrong).scores(raw, offsets)
+    monkeypatch.setattr(toxicity.LabelModel, "posterior", lambda self, votes: np.where(wrong == 1, 0.97, 0.03) if len(votes) == len(wrong) else np.full(len(votes), 0.5))
+    without = toxicity.train(texts[:400], wrong).scores(raw, offsets)
+    assert np.abs(scores - without).max() > 0.05
+    order = np.argsort(scores)
+    assert toxic[400:][order[-40:]].mean() > 0.95  # labels of which 15 % are wrong
+
+
+@pytest.mark.parametrize("module,label,modulus,left", [(quality_classifier.quality_scores, "quality", 4, 2), (toxicity.toxicity_scores, "toxic", 5, 0)])
+def test_labels_of_held_out_rows_are_not_read(spark, module, label, modulus, left):
+    texts, quality, toxic = labelled(300)
+    docs = docs_of(spark, [*((i, t, "a") for i, t in enumerate(texts)), (None, "nobody", "a")])
+    held_out = [zlib.crc32(str(i).encode()) % modulus == left for i in range(len(texts))]
+    y = quality if label == "quality" else toxic
+    assert 20 < sum(held_out) < 200
+
+    def scores(labels):
+        table = spark.createDataFrame([(i, int(v), int(v)) for i, v in enumerate(labels)], "doc_id long, quality int, toxic int")
+        return {r["doc_id"]: r["score"] for r in module(docs, table).collect()}
+
+    assert scores(y) == scores(np.where(held_out, 1 - y, y))
+    flags = docs.select("doc_id", (quality_classifier.remainder(modulus) == left).alias("held_out")).collect()
+    assert all(r["held_out"] == (r["doc_id"] is not None and held_out[r["doc_id"]]) for r in flags)
 
 
 @pytest.mark.parametrize("module,label", [(quality_classifier.quality_scores, "quality"), (toxicity.toxicity_scores, "toxic")])

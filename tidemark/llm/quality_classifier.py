@@ -1,14 +1,15 @@
 """Supervised subword embeddings for text quality.
 
-A document is the average of learned vectors of its words and character n-grams (of three and four bytes, words
-bounded by spaces), found by hashing into tables; a softmax layer over the average gives the class. Vectors and layer
+A document is the average of learned vectors of its words and character n-grams (of three and four bytes of UTF-8, so a
+letter outside ASCII is two to four of them; words bounded by spaces), found by hashing into tables; a softmax layer over the average gives the class. Vectors and layer
 are trained by stochastic gradient descent in numpy on labelled rows, of which at most `most` are used, those with
 the least hashes of their ids. As the layer is linear, scoring needs one number per table entry, the difference of the
 two classes' logits.
 
 Defined results: null and empty texts get the score of the bias alone; one row per input row; several labels of one
 id count as their mean, rounded up; without labelled rows of both classes every score is the share of ones (0.5
-if there is none); only id and text are read, and only labels by id in training.
+if there is none); an empty table gives no rows; a text is scored in one piece, which takes about a hundred times its
+bytes; only id and text are read, and only labels by id in training.
 """
 
 from __future__ import annotations
@@ -128,8 +129,8 @@ def score_with(docs: DataFrame, scores, id_col: str = "doc_id", text_col: str =
 
 
 def remainder(modulus: int) -> Column:
-    """crc32(doc_id as text) mod modulus."""
-    return F.crc32(F.col("doc_id").cast("string")) % modulus
+    """crc32(doc_id as text) mod modulus; -1 for a null id, which no label is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus, F.lit(-1))
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Model:
