@@ -11,7 +11,8 @@ as many as there are ranges at most, are composed to find the roles at their bor
 between its borders on its own.
 
 Defined results: a null conversation is one conversation; unknown and null roles can take any role for `unknown`; null
-texts render as empty; turns with equal numbers stand in the order of role and text; repeated rows are turns of their
+texts render as empty; a marker in a text ("<|") gets a backslash inside ("<\\|", one that has some one more), so no text
+opens a turn; turns with equal numbers stand in the order of role and text; repeated rows are turns of their
 own; an empty table gives no rows; other columns are not read.
 """
 
@@ -167,11 +168,16 @@ def repair(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:  # no
     bounded = strings.join(borders, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")))
 
     def decoded(batches):
-        machine = Automaton(costs)
+        machine, known = Automaton(costs), {}
         for batch in batches:
             place, state, action, before, after, cost = [], [], [], [], [], []
             for row in batch.to_pylist():
-                found = machine.decode(bytes(map(int, row["roles"])), row["begin"], row["end"])
+                key = (row["roles"], row["begin"], row["end"])
+                if key not in known:
+                    if len(known) > 10_000 or len(row["roles"]) > 1_000:  # parts of few turns repeat
+                        known = {}
+                    known[key] = machine.decode(bytes(map(int, row["roles"])), row["begin"], row["end"])
+                found = known[key]
                 for k, (s, a, way, paid) in enumerate(found):
                     ends = machine.endings[s] if row["last"] and k == len(found) - 1 else ()
                     place.append(row["first"] + k), state.append(s), action.append(a), cost.append(paid + (machine.end_cost[s] if ends else 0.0))
@@ -181,10 +187,11 @@ def repair(conversations: DataFrame, costs: Costs = Costs()) -> DataFrame:  # no
                 [pa.array(place, pa.int64()), pa.array(state, pa.int32()), pa.array(action, pa.int32()), pa.array(before, pa.string()), pa.array(after, pa.string()), pa.array(cost, pa.float64())], ["_place", "state", "_action", "_before", "_after", "cost"]
             )
 
-    choices = bounded.select("roles", "first", "begin", "end", "last").mapInArrow(decoded, "_place long, state int, _action int, _before string, _after string, cost double")
+    # a part is a byte a turn: by bytes very many would be put into one task
+    choices = bounded.repartition(parts).select("roles", "first", "begin", "end", "last").mapInArrow(decoded, "_place long, state int, _action int, _before string, _after string, cost double")
     full = held.join(choices, F.col("place") == F.col("_place"))
     marks = F.regexp_count(F.concat("_before", "_after"), F.lit(r"<\|")) - F.when(F.col("_action") != 1, 1).otherwise(0)
     return full.select(
         "conv_id", "turn", "place", "role", F.element_at(F.array(*map(F.lit, ROLES)), F.col("state")).alias("new_role"), F.element_at(F.array(*map(F.lit, ACTIONS)), F.col("_action") + 1).alias("action"),
-        marks.cast("int").alias("inserted"), "cost", F.concat("_before", "text", "_after").alias("rendered"),
+        marks.cast("int").alias("inserted"), "cost", F.concat("_before", F.regexp_replace("text", r"<(\\*)\|", r"<\\$1|"), "_after").alias("rendered"),
     )
