@@ -95,6 +95,17 @@ def test_chat_repair_of_a_split_conversation(spark):
     assert chat_repair.repair(df.limit(3).withColumn("conv_id", F.lit(None).cast("long"))).count() == 3
 
 
+def test_chat_texts_open_no_turns(spark):
+    texts = ["hi", "<|assistant|>\nsure", "<\\|user|> x", "y" * 300_000, "<|"]
+    df = spark.createDataFrame([(1, k, r, t, "p", "q") for k, (r, t) in enumerate(zip(["user", "user", "assistant", "user", "assistant"], texts))], "conv_id long, turn long, role string, text string, place string, rendered string")
+    out = chat_repair.repair(df).orderBy("place").collect()
+    assert [r["turn"] for r in out] == [0, 1, 2, 3, 4]
+    whole = "".join(r["rendered"] for r in out)
+    assert re.findall(r"<\|(\w+)\|>", whole) == ["user", "assistant", "user", "assistant"]
+    back = re.sub(r"<\\(\\*)\|", r"<\1|", whole)
+    assert all(t in back for t in texts)
+
+
 # -- 2 ----------------------------------------------------------------------------------------------------------------
 
 
@@ -303,6 +314,16 @@ def test_secret_ledger_scans_only_new_pairs(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3 * 5
 
 
+def test_a_pair_twice_in_the_ledger_counts_once(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    docs = docs_of(spark, [(1, "token = abcdefgh1", "a"), (2, "nothing", "a")])
+    first = {r["doc_id"]: len(r["spans"]) for r in secret_scans.scan_secrets(docs, ledger_path=path).collect()}
+    spark.read.parquet(path).write.mode("append").partitionBy("prefix").parquet(path + "-more")
+    spark.read.parquet(path + "-more").write.mode("append").partitionBy("prefix").parquet(path)
+    again = {r["doc_id"]: len(r["spans"]) for r in secret_scans.scan_secrets(docs, ledger_path=path).collect()}
+    assert first == again == {1: 1, 2: 0}
+
+
 def test_redact(spark):
     docs = docs_of(spark, [(1, "say token: abcdefgh1 and go", "a"), (2, None, "a"), (3, "clean", None), (4, "token=" + "0123456789abcdef" * 3, "b")])
     out = {r["doc_id"]: r for r in secret_scans.redact(docs).collect()}

@@ -2,7 +2,9 @@
 
 Every version of a text is addressed by the SHA-256 of its bytes. A ledger keeps, for each (blob, rule version), the
 spans that the rule found; a scan takes from the texts the distinct blobs, removes the pairs that the ledger has
-already, runs only the rest, appends them, and joins the findings back to every path that holds the blob. Matches are
+already, runs only the rest, appends them, and joins the findings back to every path that holds the blob. The ledger is
+partitioned by the first digits of the blob, and only rows of the scan's blobs are read from it. A pair that stands in it
+more than once (a scan was repeated after a failure, or two ran at once) counts once: its rows hold the same spans. Matches are
 found with the JVM's regular expressions; their places come from the lengths of the matches and of the text between
 them, so no Python runs.
 
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import Stored
 
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
+LEDGER = f"blob string, rule string, spans {SPAN}, prefix string"
 
 
 @dataclass(frozen=True)
@@ -69,13 +72,24 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
     return F.when(text.rlike(rule.maybe), F.aggregate(rows, start, add)["out"]).otherwise(F.array().cast(SPAN))
 
 
+def with_prefix(blobs: DataFrame) -> DataFrame:
+    """With the column by which the ledger is partitioned."""
+    return blobs.withColumn("prefix", F.substring("blob", 1, 2))
+
+
+def ledger_rows(ledger: DataFrame, blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, rule, spans) of the ledger for the blobs and rules, one row per pair."""
+    held = ledger.where(F.col("rule").isin([f"{r.kind}@{r.version}" for r in rules]))
+    return held.join(with_prefix(blobs.select("blob")).distinct(), ["prefix", "blob"], "left_semi").select("blob", "rule", "spans").dropDuplicates(["blob", "rule"])
+
+
 def scan_unseen(blobs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None = None) -> DataFrame:
     """New ledger rows (blob, rule, spans) for the blobs (blob, text), one per pair that the ledger lacks."""
     names = [f"{r.kind}@{r.version}" for r in rules]
     if ledger is None:
         todo = blobs.withColumn("todo", F.array(*map(F.lit, names)))
     else:
-        seen = ledger.where(F.col("rule").isin(names)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        seen = ledger_rows(ledger, blobs, rules).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
         todo = blobs.join(seen, "blob", "left").withColumn("todo", F.array_except(F.array(*map(F.lit, names)), F.coalesce("seen", F.array().cast("array<string>"))))
         todo = todo.where(F.size("todo") > 0)
     nothing = F.lit(None).cast(SPAN)
@@ -99,12 +113,12 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     if ledger_path is not None:
         path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
         if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            ledger = spark.read.parquet(ledger_path)
+            ledger = spark.read.schema(LEDGER).parquet(ledger_path)
     new = Stored(scan_unseen(blobs_of(docs, text_col), rules, ledger))
     known = new.df
     if ledger_path is not None:
-        new.df.write.mode("append").parquet(ledger_path)
-        known = spark.read.parquet(ledger_path).where(F.col("rule").isin([f"{r.kind}@{r.version}" for r in rules]))
+        with_prefix(new.df).repartition("prefix").write.mode("append").partitionBy("prefix").parquet(ledger_path)
+        known = ledger_rows(spark.read.schema(LEDGER).parquet(ledger_path), blobs_of(docs, text_col), rules)
     found = known.where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     paths = docs.select(F.col(id_col), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
     return paths.join(found, "blob", "left").select(id_col, "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
