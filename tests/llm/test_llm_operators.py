@@ -137,6 +137,25 @@ def test_image_copies_with_later_ids(spark):
     assert out == {i: i if i < 1000 else i - 40 for i in range(1040)}
 
 
+def test_image_copies_against_all_pairs(spark):
+    """Pages of the small table, and noisy copies: of the links that comparing all pairs finds, nearly all are found."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html").collect()
+    rng = np.random.default_rng(9)
+    images = image_copies.draw([r["html"] or "" for r in pages])
+    for x in [x for x in images if len(x) > 30][:30]:
+        images.append(np.clip(x[4:-6].astype(int) + rng.integers(-1, 2, x[4:-6].shape), 0, 255).astype(np.uint8))
+    rows = [(i, x.shape[1], x.tobytes()) for i, x in enumerate(images)]
+    out = {r["id"]: r["class_id"] for r in image_copies.find_copies(spark.createDataFrame(rows, "id long, width int, pixels binary")).collect()}
+    described = [image_copies.describe(x) for x in images]
+    links = found = 0
+    for i, j in itertools.combinations(range(len(images)), 2):
+        a, b = described[i], described[j]
+        if min(len(a[1]), len(b[1])) >= image_copies.FEWEST and image_copies.agreeing(*a, *b) >= image_copies.needed(len(a[1]), np.int64(len(b[1])), 8, 0.5):
+            links += 1
+            found += out[i] == out[j]
+    assert links > 60 and found >= 0.95 * links
+
+
 def test_corners_that_agree_in_repeated_lines():
     """A line repeated 400 times: every match counts towards the shift."""
     line = np.random.default_rng(3).integers(0, 255, (12, 48), dtype=np.uint8)

@@ -1,22 +1,29 @@
 """Cropped and edited copies of images by local descriptors.
 
 Corners are found at several scales; each gets an orientation from the intensity centroid around it and a 64-bit
-string of binary tests turned by that orientation. Strings are stored in four tables by 16 bits each, so that two at a
-Hamming distance of at most three share the bits of one. An entry joins the bits of a corner with those of the nearest
-other corner, so entries stay short however many images there are. Entries with the same images are one. Images that
-share an entry are compared: the matching corners vote for a scale and a shift, and the images are linked if enough
+string of binary tests turned by that orientation. Two Hamming tables hold the strings by their halves: strings that
+differ in one bit stand together in one of them at least, and in an image of many corners one that differs in three
+still has others that do. An entry of a table (a half) that two or more images share makes them candidates, and each
+shared entry is a vote. Pairs of two votes or more (one, if either image has few corners) are compared: corners whose
+strings are at a Hamming distance of three or less vote for a scale and a shift, and the images are linked if enough
 corners of the smaller one agree on one. Classes are the components of the links; equal images are one image until the
-end. Images of an entry first meet its first image; of entries that then lie in several components every pair of
-different components is decided, in portions of which only a forest of the links leaves a task. Entries
-are thinned out by hashes of their own contents, so copies keep the same ones wherever the region lies.
+end.
+
+Entries are kept in blocks of packed arrays, dealt by their bits. An entry's images meet its first HUBS images first;
+an entry of more stays open as long as its images lie in several components and could still be linked by what is open:
+then they meet the next four times as many, and so on until nothing is open. So every image meets every other of its
+entries, but for those already in one component with it and for images of which so few corners are left in open
+entries that no link can come of it.
 
 The tables here have no images, so the media column is made from `pages`: render_pages() draws the visible text, one
 paragraph below the other, each word a cell of its own grey. A page that repeats another's paragraphs, or a part of them, is an image
 that shows the same region elsewhere.
 
+Consensus is on scale and shift: copies that are turned as a whole match by their strings but are not linked.
+
 Defined results: null, empty and malformed images are alone; images of fewer than three corners have their equals
-only; one row per input row; rows
-with a null id are alone; an empty table gives no rows; other columns are not read.
+only; one row per input row; rows with a null id are alone; ids may repeat (a class's id is the least of its rows); an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,25 +35,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import Stored, components, in_parts, mix, text_bytes, word_hashes, words
+from .common import Stored, components, heavy_from, in_parts, spread_join, text_bytes, word_hashes, words
 
 WORDS, CELL = 24, 2  # of the rendered pages: words a row, pixels a word's cell is wide and high
 WIDTH = WORDS * CELL
 SCALES = (1, 2)
 RADIUS = 4
-#: Up to so many distinct images their digests are broadcast (about 50 MB); beyond that they are joined by shuffling.
-MOST_BROADCAST = 400_000
-#: One in so many table entries is kept, picked by hashes of what they hold: copies keep the same.
-THIN_ENTRIES = 4
 #: Images with fewer corners have equal images only.
 FEWEST = 3
-#: How far off (in pixels of the scale) the other corner of an entry lies at most.
-REACH = 16
 #: About so many votes of a pair of images are counted at a time.
 VOTES = 1_000_000
-#: Images and corners of a portion of an entry.
-PORTION, PORTION_CORNERS = 250, 50_000
+#: Images that all others of an entry meet first.
+HUBS = 3
+#: Entries of a block, about.
+BLOCK = 2_000_000
+#: Images of fewer corners are candidates by one vote.
+SMALL = 6
+#: Of the corners that a link needs, the share that must stand in open entries for it to be looked for further.
+OPEN_SHARE = 0.5
 _random = np.random.default_rng(11)
 #: The binary tests: 64 pairs of offsets within the radius.
 TESTS = _random.uniform(-RADIUS, RADIUS, (64, 2, 2))
@@ -190,89 +198,108 @@ def unpacked(corners: np.ndarray) -> np.ndarray:
     return np.stack([corners >> 32, corners >> 4 & 0xFFFFFFF, corners & 15], axis=1)
 
 
-def table_keys(strings: np.ndarray) -> np.ndarray:
-    """The 16 bits of each string in each table, with the table's number: tables × strings."""
-    return np.stack([(strings >> np.uint64(s) & np.uint64(0xFFFF)) * np.uint64(4) + np.uint64(k) for k, s in enumerate((0, 16, 32, 48))])
+def needed(m: int, n: np.ndarray, least: int, share: float) -> np.ndarray:
+    """How many corners must agree in images of m and n corners: of few corners three quarters, FEWEST at least."""
+    few = np.minimum(m, n)
+    return np.maximum(np.clip(0.75 * few, FEWEST, max(least, FEWEST)), share * few)
 
 
-def nearest(corners: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    """The string of the corner nearest to each of the same scale, the least of equally near ones; zero if none is in reach."""
-    out = np.zeros(len(strings), np.uint64)
-    for scale in np.unique(corners[:, 2]):
-        of = np.flatnonzero(corners[:, 2] == scale)  # by rows, then columns
-        y, x, s = corners[of, 0] // scale, corners[of, 1] // scale, strings[of]
-        for at in range(0, len(of), 256):
-            to = min(at + 256, len(of))
-            i, j = np.searchsorted(y, y[at] - REACH), np.searchsorted(y, y[to - 1] + REACH, side="right")
-            far = (y[at:to, None] - y[i:j]) ** 2 + (x[at:to, None] - x[i:j]) ** 2
-            far[np.arange(to - at), np.arange(at - i, to - i)] = np.iinfo(np.int64).max
-            least = far.min(axis=1)
-            found = np.where(far == least[:, None], s[i:j], np.iinfo(np.uint64).max).min(axis=1)
-            out[of[at:to]] = np.where(least <= REACH**2, found, np.uint64(0))
-    return out
+def halves(strings: np.ndarray) -> np.ndarray:
+    """The distinct entries of an image, the second table's with a bit above the others."""
+    return np.unique(np.concatenate([strings >> np.uint64(32), strings & np.uint64(0xFFFFFFFF) | np.uint64(1 << 32)]))
 
 
-def entries_of(corners: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    """The entries of an image."""
-    own, other = table_keys(strings), table_keys(nearest(corners, strings))
-    keys = np.unique(mix(own * np.uint64(1 << 18) + other))
-    return keys[keys % np.uint64(THIN_ENTRIES) == 0]
+def blocks(images: DataFrame, n_blocks: int) -> DataFrame:
+    """(block, entry, row, few): the entries of images (row, strings), packed; few marks images of few corners."""
 
+    def packed(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 2000):
+                part = batch.slice(at, 2000)
+                rows, lists = part.column("row").to_numpy(), part.column("strings")
+                entries = [halves(lists[i].values.to_numpy().view(np.uint64)) for i in range(len(part))]
+                few = np.array([len(lists[i].values) < SMALL for i in range(len(part))], dtype=np.uint8)
+                n = [len(x) for x in entries]
+                entry, row, small = np.concatenate(entries), np.repeat(rows, n), np.repeat(few, n)
+                block = (entry * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % n_blocks
+                order = np.lexsort((entry, block))
+                entry, row, small, block = entry[order], row[order], small[order], block[order]
+                first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+                last = np.append(first[1:], len(block))
+                yield pa.RecordBatch.from_arrays([pa.array(block[first], pa.int64()), *(pa.array([x[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()) for x in (entry, row, small))], ["block", "entry", "row", "few"])
+
+    return images.select("row", "strings").mapInArrow(packed, "block long, entry binary, row binary, few binary")
+
+
+def met_in_blocks(packed: DataFrame) -> DataFrame:
+    """(entry, a, b, votes) of the blocks: votes of pairs of an image and one of the first HUBS of an entry, where entry is
+    null; and, of entries with more images, the rest as (entry, row, few) in entry, a and votes, where b is null."""
 
-def needed(m: int, n: np.ndarray, least: int, share: float) -> np.ndarray:
-    """How many corners must agree in images of m and n corners: of few corners three quarters, FEWEST at least."""
-    few = np.minimum(m, n)
-    return np.maximum(np.clip(0.75 * few, FEWEST, max(least, FEWEST)), share * few)
+    def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+        entry, row, few = read("entry", np.uint64), read("row", np.int64), read("few", np.uint8)
+        order = np.lexsort((row, entry))
+        entry, row, few = entry[order], row[order], few[order]
+        first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
+        n = np.diff(np.append(first, len(entry)))
+        begin, size = np.repeat(first, n), np.repeat(n, n)
+        place = np.arange(len(entry)) - begin
+        a, b, votes = [], [], []
+        for k in range(HUBS):
+            met = np.flatnonzero(place > k)
+            hub = begin[met] + k
+            a.append(row[hub]), b.append(row[met]), votes.append(1 + (few[hub] | few[met]).astype(np.int64))
+        a, b, votes = np.concatenate(a), np.concatenate(b), np.concatenate(votes)
+        order = np.lexsort((b, a))
+        a, b, votes = a[order], b[order], votes[order]
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+        votes = np.add.reduceat(votes, new) if len(new) else votes
+        rest = np.flatnonzero((size > HUBS + 1) & (place >= HUBS))
+        return pa.table([
+            pa.concat_arrays([pa.nulls(len(new), pa.int64()), pa.array(entry[rest].view(np.int64))]), pa.array(np.concatenate([a[new], row[rest]])),
+            pa.concat_arrays([pa.array(b[new]), pa.nulls(len(rest), pa.int64())]), pa.array(np.concatenate([votes, few[rest].astype(np.int64)])),
+        ], names=["entry", "a", "b", "votes"])
+
+    return packed.groupBy("block").applyInArrow(of, "entry long, a long, b long, votes long")
+
+
+def judged(pairs: DataFrame, sets: DataFrame, least: int, share: float, heavy: int) -> DataFrame:
+    """The (a, b) of pairs whose images (row, corners, strings) are linked."""
+    left = spread_join(pairs, sets.toDF("a", "ca", "sa"), "a", ["b"], heavy)
+    both = left.join(sets.toDF("b", "cb", "sb"), "b").select("a", "b", "ca", "sa", "cb", "sb")
+
+    def compared(batches):
+        for batch in batches:
+            good = []
+            for i in range(len(batch)):
+                ca, sa, cb, sb = (batch.column(c)[i].values.to_numpy() for c in ("ca", "sa", "cb", "sb"))
+                n = agreeing(unpacked(ca), sa.view(np.uint64), unpacked(cb), sb.view(np.uint64))
+                good.append(bool(n >= needed(len(sa), len(sb), least, share)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    return both.mapInArrow(compared, "a long, b long")
 
-def met_in_entries(rows: DataFrame, least: int, share: float) -> DataFrame:
-    """(a, b): links that span those between different components within the entries of (entry, hub, id, component, corners, strings).
 
-    Every pair that lies in two components and doesn't hold the hub, which all have met, is decided: first by how many corners of one
-    have a key in common with the other, which is no less than how many agree.
-    """
-    sizes = rows.groupBy("entry").agg(F.ceil(F.greatest(F.count("*") / PORTION, F.sum(F.size("strings")) / PORTION_CORNERS)).cast("int").alias("cut"))
-    cut = rows.join(sizes, "entry").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("cut")).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    cut = cut.select("entry", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "hub", "id", "component", "corners", "strings")
-    kind = rows.schema["id"].dataType.simpleString()
+def described(images: DataFrame) -> DataFrame:
+    """(id, same, whole, corners, strings) of images; same is a digest. Equal images of a task are described once."""
+    kind = images.schema["id"].dataType.simpleString()
+    same = F.sha2(F.concat(F.coalesce(F.col("width").cast("string"), F.lit("")).cast("binary"), F.lit(":").cast("binary"), F.coalesce("pixels", F.lit(b""))), 256)
 
-    def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("id").combine_chunks()
-        ids = table.column("id").combine_chunks()
-        mine = table.column("mine").to_numpy()
-        hub = table.column("id").to_numpy(zero_copy_only=False) == table.column("hub").to_numpy(zero_copy_only=False)
-        _, label = np.unique(table.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
-        corners, strings = table.column("corners").combine_chunks(), table.column("strings").combine_chunks()
-        corners = [corners[i].values.to_numpy() for i in range(len(ids))]
-        strings = [strings[i].values.to_numpy().view(np.uint64) for i in range(len(ids))]
-        n = np.array([len(x) for x in strings])
-        own = [table_keys(x) for x in strings]
-        sets = [np.unique(x) for x in own]
-        keys, image = np.concatenate(sets), np.repeat(np.arange(len(ids)), [len(x) for x in sets])
-        order = np.argsort(keys, kind="stable")
-        keys, image = keys[order], image[order]
-        within = key[1].as_py() == key[2].as_py()
-        a, b = [], []
-        for i in range(len(ids)):
-            open_ = (np.arange(len(ids)) > i) & (label != label[i]) & ~hub & (not hub[i])
-            if not within:
-                open_ &= mine != mine[i]
-            if not open_.any():
-                continue
-            low, high = np.searchsorted(keys, own[i].ravel()), np.searchsorted(keys, own[i].ravel(), side="right")
-            times = high - low
-            at = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            with_ = image[at] * n[i] + np.repeat(np.tile(np.arange(n[i]), 4), times)
-            most = np.bincount(np.unique(with_[open_[image[at]]]) // n[i], minlength=len(ids))
-            for j in np.flatnonzero(open_ & (most >= needed(n[i], n, least, share))):
-                if label[i] != label[j] and agreeing(unpacked(corners[i]), strings[i], unpacked(corners[j]), strings[j]) >= needed(n[i], n[j], least, share):
-                    a.append(i)
-                    b.append(j)
-                    label[label == label[j]] = label[i]
-        return pa.table([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], names=["a", "b"])
-
-    return cut.groupBy("entry", "p", "q").applyInArrow(of, f"a {kind}, b {kind}")
+    def of(batches):
+        known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            whole, corners, strings = [], [], []
+            for same, width, pixels in zip(*(batch.column(c).to_pylist() for c in ("same", "width", "pixels")), strict=True):
+                whole.append(bool(pixels) and bool(width) and width > 0 and len(pixels) % width == 0)
+                if same not in known:
+                    if len(known) > 500:
+                        known = {}
+                    at, text = describe(np.frombuffer(pixels, dtype=np.uint8).reshape(-1, width)) if whole[-1] else describe(np.zeros((0, 1), np.uint8))
+                    known[same] = at[:, 0] << 32 | at[:, 1] << 4 | at[:, 2], text.view(np.int64)
+                corners.append(known[same][0]), strings.append(known[same][1])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(whole, pa.bool_()), pa.array(corners, pa.list_(pa.int64())), pa.array(strings, pa.list_(pa.int64()))], ["id", "same", "whole", "corners", "strings"])
+
+    return images.select("id", same.alias("same"), "width", "pixels").mapInArrow(of, f"id {kind}, same string, whole boolean, corners array<long>, strings array<long>")
 
 
 def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFrame:
@@ -281,57 +308,43 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
     Two images are linked if at least `least` corners (in images of few: see needed()), and at least `share` of the corners of the one with
     fewer, agree.
     """
-    kind = images.schema["id"].dataType.simpleString()
-    digest = F.sha2(F.concat(F.coalesce(F.col("width").cast("string"), F.lit("")).cast("binary"), F.lit(":").cast("binary"), F.coalesce("pixels", F.lit(b""))), 256)
-    wide = Stored(images.select("id", "width", "pixels", digest.alias("same")))
-    firsts = Stored(wide.df.where(F.col("id").isNotNull()).groupBy("same").agg(F.min("id").alias("rep"))).df
-    few = firsts.count() <= MOST_BROADCAST
-
-    def described(batches):
-        for batch in batches:
-            corners, strings, tables = [], [], []
-            for width, pixels in zip(batch.column("width").to_pylist(), batch.column("pixels").to_pylist(), strict=True):
-                whole = bool(pixels) and bool(width) and width > 0 and len(pixels) % width == 0
-                at, text = describe(np.frombuffer(pixels, dtype=np.uint8).reshape(-1, width)) if whole else describe(np.zeros((0, 1), np.uint8))
-                corners.append(at[:, 0] << 32 | at[:, 1] << 4 | at[:, 2])
-                strings.append(text.view(np.int64))
-                tables.append(entries_of(at, text).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("same"), pa.array(corners, pa.list_(pa.int64())), pa.array(strings, pa.list_(pa.int64())), pa.array(tables, pa.list_(pa.int64()))], ["id", "same", "corners", "strings", "tables"])
-
-    reps = firsts.select("same", F.col("rep").alias("id"))
-    once = wide.df.join(F.broadcast(reps) if few else reps, ["same", "id"], "left_semi").select("id", "same", "width", "pixels")
-    known = Stored(once.mapInArrow(described, f"id {kind}, same string, corners array<long>, strings array<long>, tables array<long>")).df
-    whole_ = F.coalesce((F.col("width") > 0) & (F.length("pixels") > 0) & (F.length("pixels") % F.when(F.col("width") > 0, F.col("width")) == 0), F.lit(False))
-    seen = Stored(wide.df.select("id", "same", whole_.alias("whole"))).df
-    wide.drop()
-    entries = known.where(F.size("strings") >= FEWEST).select("id", F.explode("tables").alias("entry"))
-    held = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("all")).where("hub < last")
-    buckets = held.groupBy("hub", "last", "n", "all").agg(F.min("entry").alias("entry")).select("entry", "hub", "n")
-    members = Stored(entries.join(buckets, "entry")).df
-    pairs = members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    sets = known.select("id", "corners", "strings")
-    both = pairs.join(sets.toDF("a", "ca", "sa"), "a").join(sets.toDF("b", "cb", "sb"), "b").select("a", "b", "ca", "sa", "cb", "sb")
-
-    def judged(batches):
-        for batch in batches:
-            good = []
-            for i in range(len(batch)):
-                ca, sa, cb, sb = (batch.column(c)[i].values.to_numpy() for c in ("ca", "sa", "cb", "sb"))
-                sa, sb = sa.view(np.uint64), sb.view(np.uint64)
-                n = agreeing(unpacked(ca), sa, unpacked(cb), sb)
-                good.append(bool(n >= needed(len(sa), len(sb), least, share)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    links = Stored(both.mapInArrow(judged, f"a {kind}, b {kind}")).df
-    part = components(links)
-    placed = members.where("n > 2").join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
-    open_ones = placed.join(mixed, "entry").select("entry", "hub", "id", "component").join(sets, "id")
-    more = Stored(met_in_entries(open_ones, least, share)).df
-    if more.limit(1).count():
-        part = components(links.union(more))
-    of_image = firsts.join(known.groupBy(F.col("id").alias("rep")).agg(F.max(F.size("strings")).alias("n_corners")), "rep", "left").join(part.withColumnRenamed("node", "rep"), "rep", "left")
-    of_image = of_image.select("same", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.coalesce("component", "rep").alias("component"))
-    out = seen.join(of_image, "same", "left")
+    seen = Stored(described(images).withColumn("row", F.monotonically_increasing_id())).df
+    firsts = Stored(seen.where(F.col("id").isNotNull() & F.col("whole")).groupBy("same").agg(F.min("id").alias("least_id"), F.min("row").alias("row"), F.max(F.size("strings")).alias("n"))).df
+    size = firsts.agg(F.count("*").alias("n"), F.coalesce(F.sum("n"), F.lit(0)).alias("corners")).first()
+    heavy = heavy_from(2 * size["corners"])
+    reps = firsts.where(F.col("n") >= FEWEST).select("row", "n")
+    sets = seen.where(F.size("strings") >= FEWEST).select("row", "corners", "strings")
+    if size["n"] < seen.count():  # not every row is the first of its equals
+        sets = Stored(sets.join(reps.select("row"), "row", "left_semi")).df
+    met = Stored(met_in_blocks(blocks(sets, max(32, 2 * size["corners"] // BLOCK)))).df
+    tested = Stored(met.where("entry IS NULL").groupBy("a", "b").agg(F.sum("votes").alias("votes")).where("votes > 1").select("a", "b")).df
+    links = Stored(judged(tested, sets, least, share, heavy)).df
+    part = Stored(components(links)).df
+    want = F.greatest(F.least(F.greatest(0.75 * F.col("n"), F.lit(float(FEWEST))), F.lit(float(max(least, FEWEST)))), F.lit(share) * F.col("n"))
+    rest, hubs = met.where("b IS NULL").select("entry", F.col("a").alias("row"), F.col("votes").alias("few")), HUBS
+    while True:
+        hubs *= 4
+        placed = rest.join(part.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+        mixed = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
+        placed = Stored(spread_join(placed, mixed, "entry", ["row"], heavy)).df
+        able = placed.groupBy("row").agg(F.count("*").alias("m")).join(reps, "row").where(F.col("m") >= OPEN_SHARE * want).select("row")
+        asked = placed.join(able, "row", "left_semi").select("entry").distinct()
+        open_ = Stored(spread_join(placed, asked, "entry", ["row"], heavy)).df
+        if not open_.limit(1).count():
+            break
+        nth = F.row_number().over(Window.partitionBy("entry").orderBy("row"))
+        first = Stored(open_.withColumn("place", nth).where(F.col("place") <= hubs).select("entry", F.col("row").alias("a"), F.col("component").alias("ca"), F.col("few").alias("fa"))).df
+        pairs = spread_join(open_, first, "entry", ["row"], heavy).where("row > a AND component <> ca")
+        votes = pairs.groupBy("a", F.col("row").alias("b")).agg(F.sum(1 + F.greatest("few", "fa")).alias("votes")).where("votes > 1").select("a", "b")
+        new = Stored(votes.join(tested, ["a", "b"], "left_anti")).df
+        if new.limit(1).count():
+            links = links.union(Stored(judged(new, sets, least, share, heavy)).df)
+            part = Stored(components(links)).df
+            tested = tested.union(new)
+        rest = Stored(open_.select("entry", "row", "few").join(first.select("entry", F.col("a").alias("row")), ["entry", "row"], "left_anti")).df
+    of_image = firsts.join(part.withColumnRenamed("node", "row"), "row", "left").select("same", "least_id", "n", F.coalesce("component", "row").alias("class_row"))
+    classes = of_image.groupBy("class_row").agg(F.min("least_id").alias("class_id"))
+    named = spread_join(of_image.drop("least_id"), classes, "class_row", ["same"], heavy)
+    out = spread_join(seen.select("id", "same", "whole", "row"), named.select("same", "n", "class_id"), "same", ["row"], heavy, "left")
     alone = F.col("id").isNull() | ~F.col("whole")
-    return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("component")).alias("class_id"), F.coalesce("n_corners", F.lit(0)).cast("long").alias("n_corners")).withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
+    return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_corners")).withColumn("kept", F.col("id").eqNullSafe(F.col("class_id")))
