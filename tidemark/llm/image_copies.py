@@ -4,7 +4,7 @@ Corners are found at several scales; each gets an orientation from the intensity
 string of binary tests turned by that orientation. Two Hamming tables hold the strings by their halves: strings that
 differ in one bit stand together in one of them at least, and in an image of many corners one that differs in three
 still has others that do. An entry of a table (a half) that two or more images share makes them candidates, and each
-shared entry is a vote. Pairs of two votes or more (one, if either image has few corners) are compared: corners whose
+shared entry is a vote. Pairs of enough votes (VOTE_SHARE of the corners that a link needs) are compared: corners whose
 strings are at a Hamming distance of three or less vote for a scale and a shift, and the images are linked if enough
 corners of the smaller one agree on one. Classes are the components of the links; equal images are one image until the
 end.
@@ -28,6 +28,7 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 from html import unescape
 
@@ -51,10 +52,9 @@ VOTES = 1_000_000
 HUBS = 3
 #: Entries of a block, about.
 BLOCK = 2_000_000
-#: Images of fewer corners are candidates by one vote.
-SMALL = 6
-#: Of the corners that a link needs, the share that must stand in open entries for it to be looked for further.
-OPEN_SHARE = 0.5
+#: A pair is compared if it has so many votes in a round, as a share of the corners that a link needs. Copies have two
+#: for each corner (one in each table), over a few rounds.
+VOTE_SHARE = 0.8
 _random = np.random.default_rng(11)
 #: The binary tests: 64 pairs of offsets within the radius.
 TESTS = _random.uniform(-RADIUS, RADIUS, (64, 2, 2))
@@ -204,63 +204,66 @@ def needed(m: int, n: np.ndarray, least: int, share: float) -> np.ndarray:
     return np.maximum(np.clip(0.75 * few, FEWEST, max(least, FEWEST)), share * few)
 
 
-def halves(strings: np.ndarray) -> np.ndarray:
-    """The distinct entries of an image, the second table's with a bit above the others."""
-    return np.unique(np.concatenate([strings >> np.uint64(32), strings & np.uint64(0xFFFFFFFF) | np.uint64(1 << 32)]))
+def blocks(images: DataFrame, n_blocks: int, least: int, share: float) -> DataFrame:
+    """(block, base, entry, row, asks): the distinct entries of images (row, strings) by tables, packed.
 
-
-def blocks(images: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, entry, row, few): the entries of images (row, strings), packed; few marks images of few corners."""
+    Rows count from base; asks is how many votes the image asks for.
+    """
 
     def packed(batches):
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.slice(at, 2000)
+            far = np.flatnonzero(np.diff(batch.column("row").to_numpy() >> 32)) + 1  # numbers of a part must be near its base
+            cuts = sorted({0, len(batch), *range(0, len(batch), 2000), *far.tolist()})
+            for at, to in itertools.pairwise(cuts):
+                part = batch.slice(at, to - at)
                 rows, lists = part.column("row").to_numpy(), part.column("strings")
-                entries = [halves(lists[i].values.to_numpy().view(np.uint64)) for i in range(len(part))]
-                few = np.array([len(lists[i].values) < SMALL for i in range(len(part))], dtype=np.uint8)
+                strings = [lists[i].values.to_numpy().view(np.uint64) for i in range(len(part))]
+                entries = [np.unique(x >> np.uint64(32) if k == 0 else x & np.uint64(0xFFFFFFFF)) for k in (0, 1) for x in strings]
+                size = np.array([len(x) for x in strings])
+                asks = np.minimum(np.ceil(VOTE_SHARE * needed(1 << 40, size, least, share)), 0xFFFF).astype(np.uint16)
                 n = [len(x) for x in entries]
-                entry, row, small = np.concatenate(entries), np.repeat(rows, n), np.repeat(few, n)
-                block = (entry * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % n_blocks
+                entry, row, ask = np.concatenate(entries), np.repeat(np.tile(rows - rows.min(), 2), n).astype(np.uint32), np.repeat(np.tile(asks, 2), n)
+                table = np.repeat(np.repeat([0, 1], len(part)), n)
+                block = ((entry * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % n_blocks) * 2 + table
                 order = np.lexsort((entry, block))
-                entry, row, small, block = entry[order], row[order], small[order], block[order]
+                entry, row, ask, block = entry[order].astype(np.uint32), row[order], ask[order], block[order]
                 first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
                 last = np.append(first[1:], len(block))
-                yield pa.RecordBatch.from_arrays([pa.array(block[first], pa.int64()), *(pa.array([x[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()) for x in (entry, row, small))], ["block", "entry", "row", "few"])
+                yield pa.RecordBatch.from_arrays([pa.array(block[first], pa.int64()), pa.array([int(rows.min())] * len(first), pa.int64()), *(pa.array([x[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()) for x in (entry, row, ask))], ["block", "base", "entry", "row", "asks"])
 
-    return images.select("row", "strings").mapInArrow(packed, "block long, entry binary, row binary, few binary")
+    return images.select("row", "strings").mapInArrow(packed, "block long, base long, entry binary, row binary, asks binary")
 
 
 def met_in_blocks(packed: DataFrame) -> DataFrame:
-    """(entry, a, b, votes) of the blocks: votes of pairs of an image and one of the first HUBS of an entry, where entry is
-    null; and, of entries with more images, the rest as (entry, row, few) in entry, a and votes, where b is null."""
+    """(entry, a, b, votes, asks) of the blocks: votes of pairs of an image and one of the first HUBS of an entry, where
+    entry is null; and, of entries with more images, the rest as (entry, a, asks), where b is null."""
 
     def of(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-        entry, row, few = read("entry", np.uint64), read("row", np.int64), read("few", np.uint8)
+        read = lambda name, kind: [np.frombuffer(x, dtype=kind) for x in table.column(name).to_pylist()]
+        entry, asks = np.concatenate(read("entry", np.uint32)), np.concatenate(read("asks", np.uint16)).astype(np.int64)
+        row = np.concatenate([x.astype(np.int64) + base for x, base in zip(read("row", np.uint32), table.column("base").to_pylist(), strict=True)])
         order = np.lexsort((row, entry))
-        entry, row, few = entry[order], row[order], few[order]
+        entry, row, asks = entry[order], row[order], asks[order]
         first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
         n = np.diff(np.append(first, len(entry)))
         begin, size = np.repeat(first, n), np.repeat(n, n)
         place = np.arange(len(entry)) - begin
-        a, b, votes = [], [], []
-        for k in range(HUBS):
-            met = np.flatnonzero(place > k)
-            hub = begin[met] + k
-            a.append(row[hub]), b.append(row[met]), votes.append(1 + (few[hub] | few[met]).astype(np.int64))
-        a, b, votes = np.concatenate(a), np.concatenate(b), np.concatenate(votes)
-        order = np.lexsort((b, a))
-        a, b, votes = a[order], b[order], votes[order]
+        met = [np.flatnonzero(place > k) for k in range(HUBS)]
+        hub = np.concatenate([begin[x] + k for k, x in enumerate(met)])
+        met = np.concatenate(met)
+        order = np.lexsort((row[met], row[hub]))
+        met, hub = met[order], hub[order]
+        a, b = row[hub], row[met]
         new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-        votes = np.add.reduceat(votes, new) if len(new) else votes
+        votes = np.diff(np.append(new, len(a)))
         rest = np.flatnonzero((size > HUBS + 1) & (place >= HUBS))
+        full = entry[rest].astype(np.int64) * 2 + key[0].as_py() % 2
         return pa.table([
-            pa.concat_arrays([pa.nulls(len(new), pa.int64()), pa.array(entry[rest].view(np.int64))]), pa.array(np.concatenate([a[new], row[rest]])),
-            pa.concat_arrays([pa.array(b[new]), pa.nulls(len(rest), pa.int64())]), pa.array(np.concatenate([votes, few[rest].astype(np.int64)])),
-        ], names=["entry", "a", "b", "votes"])
+            pa.concat_arrays([pa.nulls(len(new), pa.int64()), pa.array(full)]), pa.array(np.concatenate([a[new], row[rest]])), pa.concat_arrays([pa.array(b[new]), pa.nulls(len(rest), pa.int64())]),
+            pa.array(np.concatenate([votes, np.zeros(len(rest), np.int64)]).astype(np.int32)), pa.array(np.concatenate([np.minimum(asks[hub[new]], asks[met[new]]), asks[rest]]).astype(np.int32)),
+        ], names=["entry", "a", "b", "votes", "asks"])
 
-    return packed.groupBy("block").applyInArrow(of, "entry long, a long, b long, votes long")
+    return packed.groupBy("block").applyInArrow(of, "entry long, a long, b long, votes int, asks int")
 
 
 def judged(pairs: DataFrame, sets: DataFrame, least: int, share: float, heavy: int) -> DataFrame:
@@ -316,32 +319,33 @@ def find_copies(images: DataFrame, least: int = 8, share: float = 0.5) -> DataFr
     sets = seen.where(F.size("strings") >= FEWEST).select("row", "corners", "strings")
     if size["n"] < seen.count():  # not every row is the first of its equals
         sets = Stored(sets.join(reps.select("row"), "row", "left_semi")).df
-    met = Stored(met_in_blocks(blocks(sets, max(32, 2 * size["corners"] // BLOCK)))).df
-    tested = Stored(met.where("entry IS NULL").groupBy("a", "b").agg(F.sum("votes").alias("votes")).where("votes > 1").select("a", "b")).df
+    met = Stored(met_in_blocks(blocks(sets, max(4, size["corners"] // BLOCK), least, share))).df
+    tested = Stored(met.where("entry IS NULL").groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.min("asks").alias("asks")).where("votes >= asks").select("a", "b")).df
     links = Stored(judged(tested, sets, least, share, heavy)).df
     part = Stored(components(links)).df
-    want = F.greatest(F.least(F.greatest(0.75 * F.col("n"), F.lit(float(FEWEST))), F.lit(float(max(least, FEWEST)))), F.lit(share) * F.col("n"))
-    rest, hubs = met.where("b IS NULL").select("entry", F.col("a").alias("row"), F.col("votes").alias("few")), HUBS
+    rest, hubs = met.where("b IS NULL").select("entry", F.col("a").alias("row"), "asks"), HUBS
     while True:
         hubs *= 4
         placed = rest.join(part.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
         mixed = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
-        placed = Stored(spread_join(placed, mixed, "entry", ["row"], heavy)).df
-        able = placed.groupBy("row").agg(F.count("*").alias("m")).join(reps, "row").where(F.col("m") >= OPEN_SHARE * want).select("row")
-        asked = placed.join(able, "row", "left_semi").select("entry").distinct()
+        placed = spread_join(placed, mixed, "entry", ["row"], heavy)
+        # an image can still be linked as the smaller one if enough of its entries are open
+        able = placed.groupBy("row").agg(F.count("*").alias("m"), F.min("asks").alias("asks")).where("m >= asks").select("row", F.lit(True).alias("able"))
+        placed = Stored(placed.join(able, "row", "left").withColumn("able", F.coalesce("able", F.lit(False)))).df
+        asked = placed.groupBy("entry").agg(F.max("able").alias("any")).where("any").select("entry")
         open_ = Stored(spread_join(placed, asked, "entry", ["row"], heavy)).df
         if not open_.limit(1).count():
             break
         nth = F.row_number().over(Window.partitionBy("entry").orderBy("row"))
-        first = Stored(open_.withColumn("place", nth).where(F.col("place") <= hubs).select("entry", F.col("row").alias("a"), F.col("component").alias("ca"), F.col("few").alias("fa"))).df
-        pairs = spread_join(open_, first, "entry", ["row"], heavy).where("row > a AND component <> ca")
-        votes = pairs.groupBy("a", F.col("row").alias("b")).agg(F.sum(1 + F.greatest("few", "fa")).alias("votes")).where("votes > 1").select("a", "b")
+        first = Stored(open_.withColumn("place", nth).where(F.col("place") <= hubs).select("entry", F.col("row").alias("a"), F.col("component").alias("ca"), F.col("asks").alias("asks_a"), F.col("able").alias("able_a"))).df
+        pairs = spread_join(open_, first, "entry", ["row"], heavy).where("row > a AND component <> ca AND (able OR able_a)")
+        votes = pairs.groupBy("a", F.col("row").alias("b")).agg(F.count("*").alias("votes"), F.min(F.least("asks", "asks_a")).alias("asks")).where("votes >= asks").select("a", "b")
         new = Stored(votes.join(tested, ["a", "b"], "left_anti")).df
         if new.limit(1).count():
             links = links.union(Stored(judged(new, sets, least, share, heavy)).df)
             part = Stored(components(links)).df
             tested = tested.union(new)
-        rest = Stored(open_.select("entry", "row", "few").join(first.select("entry", F.col("a").alias("row")), ["entry", "row"], "left_anti")).df
+        rest = Stored(open_.select("entry", "row", "asks").join(first.select("entry", F.col("a").alias("row")), ["entry", "row"], "left_anti")).df
     of_image = firsts.join(part.withColumnRenamed("node", "row"), "row", "left").select("same", "least_id", "n", F.coalesce("component", "row").alias("class_row"))
     classes = of_image.groupBy("class_row").agg(F.min("least_id").alias("class_id"))
     named = spread_join(of_image.drop("least_id"), classes, "class_row", ["same"], heavy)
