@@ -23,7 +23,8 @@ def test_tickers(spark):
 
 def test_names(spark):
     values = ["The Walt Disney Company", "Alphabet Inc. (Class A)", "Société Générale S.A.", "AT&T Corporation", "Procter & Gamble Co. and Co", "Inc", "", "Hewlett Packard Holdings, Ltd. and"]
-    assert column(spark, values, text.normalize_name) == ["walt disney", "alphabet", "societe generale s a", "at and t", "procter and gamble", "inc", "", "hewlett packard"]
+    assert column(spark, values, text.normalize_name) == ["walt disney", "alphabet", "societe generale s a", "at and t", "procter and gamble", "", "", "hewlett packard"]
+    assert column(spark, ["The Company", "the " * 9 + "Inc", "l inc p", "Ñandú Co", None], text.normalize_name) == ["", "the", "", "nandu", ""]
     again = column(spark, ["the the inc corp and the co walt and"], text.normalize_name)
     assert column(spark, again, text.normalize_name) == again
     assert column(spark, ["Chubb[a] Limited [ 12 ]"], text.clean_display_name) == ["Chubb Limited"]

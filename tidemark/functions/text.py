@@ -36,8 +36,6 @@ REASONS = tuple(c for c, _ in REASON_PATTERNS) + (OTHER_REASON,)
 
 _FOOTNOTE = r"\[[^\]]*\]"
 _SUFFIX = r"\b(" + "|".join(sorted(NAME_SUFFIXES, key=len, reverse=True)) + r")\b"
-#: After so many rounds of taking words off a key nothing changes any more (tested).
-KEY_ROUNDS = 6
 
 
 def strip_footnotes(c: Column) -> Column:
@@ -68,16 +66,17 @@ def compare_key(c: Column) -> Column:
 
 
 def _ascii(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode() if x is not None else None)
+    plain = s.map(lambda x: x is None or x.isascii())
+    return s.where(plain, s[~plain].map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode()))
 
 
 def _to_ascii(c: Column) -> Column:
-    """Compatibility decomposition without what isn't ASCII. Text that is ASCII already doesn't leave the JVM's values."""
+    """Compatibility decomposition without what isn't ASCII. All texts go through an Arrow batch, the ASCII ones unchanged."""
     return F.pandas_udf(_ascii, "string")(c)
 
 
 def normalize_name(c: Column, ascii_only: bool = False) -> Column:
-    """The key by which names are matched. ascii_only: the names are known to be ASCII, so no Python runs."""
+    """The key by which names are matched; '' for a name of legal forms only. ascii_only: the names are known to be ASCII, so no Python runs."""
     s = strip_footnotes(c)
     if not ascii_only:
         s = _to_ascii(s)
@@ -88,8 +87,8 @@ def normalize_name(c: Column, ascii_only: bool = False) -> Column:
         x = F.regexp_replace(F.regexp_replace(x, "^the ", ""), _SUFFIX, " ")
         return F.trim(F.regexp_replace(F.trim(F.regexp_replace(x, " +", " ")), r"\band$", ""))
 
-    # a fold, so that each round is evaluated once; a key that would come out empty stays as it was before that round
-    return F.aggregate(F.sequence(F.lit(1), F.lit(KEY_ROUNDS)), s, lambda x, _: F.when(once(x) == "", x).otherwise(once(x)))
+    # a fold, so that each round is evaluated once; a round that changes the key takes a word off it at least
+    return F.aggregate(F.sequence(F.lit(1), F.size(F.split(s, " "))), s, lambda x, _: once(x))
 
 
 def classify_reason(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .graph import checkpointed
 from ..config import ADD, CLUSTER_TOLERANCE_DAYS, CONTINUITY_DAYS, EVIDENCE_TIERS, EVIDENCE_WEIGHT, MEMBERSHIP_TOLERANCE_DAYS, PAIR_TOLERANCE_DAYS, REMOVE
 
 
@@ -101,12 +102,9 @@ def backfilled(sightings: DataFrame, intervals: DataFrame, holders_seen: DataFra
 
 def roots(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(node, root) of redirects (node, into), each followed to its end. Paths halve every round; cycles are refused."""
-    spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/tidemark-checkpoints"))
     now = edges.select("node", F.col("into").alias("root"))
     for _ in range(most_rounds):
-        after = now.alias("x").join(now.alias("y"), F.col("x.root") == F.col("y.node"), "left").select("x.node", F.col("x.root").alias("was"), F.coalesce("y.root", "x.root").alias("root")).checkpoint()
+        after = checkpointed(now.alias("x").join(now.alias("y"), F.col("x.root") == F.col("y.node"), "left").select("x.node", F.col("x.root").alias("was"), F.coalesce("y.root", "x.root").alias("root")))
         if not after.where("was <> root").limit(1).count():
             return after.select("node", "root")
         now = after.select("node", "root")

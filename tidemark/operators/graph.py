@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,12 @@ from pyspark.sql import functions as F
 def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/tidemark-checkpoints"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("on a cluster, spark.checkpoint.dir must name a shared folder")
+            shared = tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(shared)
     return df.checkpoint()
 
 

@@ -111,6 +111,13 @@ def derive_intervals(events: DataFrame, key: str = "company_id", at: str = "effe
     )
 
 
+def kept_events(events: DataFrame, key: str = "company_id", at: str = "effective_date", tie: str = "event_id", earliest_reference: DataFrame | None = None, days: int = CLUSTER_TOLERANCE_DAYS) -> DataFrame:
+    """The events that make up the intervals: all but the ADDs that derive_intervals() passes over or supersedes."""
+    placed = _openers(_placed(events, key, at, tie), key, at, earliest_reference, days)
+    opens = (F.col("action") == REMOVE) | (F.col("_nth") == F.coalesce("_over._nth", "_open._nth"))
+    return placed.where(opens).select(events.columns).union(events.where(~F.col("action").isin(ADD, REMOVE)))
+
+
 def interval_issues(events: DataFrame, key: str = "company_id", at: str = "effective_date", tie: str = "event_id", earliest_reference: DataFrame | None = None, days: int = CLUSTER_TOLERANCE_DAYS) -> DataFrame:
     """(key, kind, on_date) of every anomaly that derive_intervals() decides about."""
     placed = _openers(_placed(events, key, at, tie), key, at, earliest_reference, days)

@@ -98,8 +98,14 @@ def resolve_identities(spark: SparkSession, claims: DataFrame, sightings: DataFr
     return {kind: out.where(F.col("kind") == kind).select(F.from_json("row", ddl).alias("x")).select("x.*") for kind, ddl in _OUT.items()}
 
 
+def _content_id() -> Column:
+    """A number from all that a claim says, so ties fall the same way however the claims are dealt. Equal claims share it."""
+    said = ("company_id", "effective_date", "action", "ticker", "name", "source_type", "confidence", "reason", "reason_category", "counterpart_ticker", "notes", "refs")
+    return F.shiftrightunsigned(F.xxhash64(*said), 1)
+
+
 def build(claims: DataFrame, sightings: DataFrame | None = None, snapshots: DataFrame | None = None, curated: dict[str, DataFrame] | None = None, as_of: str = "2026-01-01", settings: Settings = Settings()) -> dict[str, DataFrame]:  # noqa: B008
-    """All tables of a build.
+    """All tables of a build; events are those that the intervals rest on, by date, company and action.
 
     claims: rows of operators.claims.COLUMNS from named sources; sightings: (on_date, ticker, name, cik, kind) of dated
     lists, kind 'snapshot' or 'current'; snapshots: (on_date, tickers) of the reference; curated: sources.tables.curated.
@@ -131,7 +137,7 @@ def build(claims: DataFrame, sightings: DataFrame | None = None, snapshots: Data
     )
     inferred = named.where((F.col("action") == "TICKER_CHANGE") & ((F.col("source_type") == REFERENCE) | (F.col("notes") == "curated")))
     spoken = claim_ops.retag_changes(spoken, inferred)
-    all_ = checkpointed(named.unionByName(spoken).where(F.col("company_id").isNotNull()).withColumn("claim_id", F.monotonically_increasing_id()).withColumn("label", F.col("ticker")))
+    all_ = checkpointed(named.unionByName(spoken).where(F.col("company_id").isNotNull()).withColumn("claim_id", _content_id()).withColumn("label", F.col("ticker")))
     events = events_of(all_, t, as_of, settings)
     earliest = assigned.groupBy("company_id").agg(F.min("start").alias("earliest_reference"))
     intervals = membership.derive_intervals(events, earliest_reference=earliest)
@@ -142,6 +148,8 @@ def build(claims: DataFrame, sightings: DataFrame | None = None, snapshots: Data
     else:
         intervals = intervals.withColumn("supported", F.lit(True))
     spans_ = entities.label_spans(t["evidence"], t["moves"], as_of)
+    events = membership.kept_events(events, earliest_reference=earliest).orderBy("effective_date", "company_id", membership.action_order(F.col("action")), "event_id")
+    intervals = intervals.orderBy(F.col("entry_date").asc_nulls_first(), "company_id")
     return {**t, "events": events, "intervals": intervals, "issues": issues, "tickers": spans_, "resolved": all_}
 
 
@@ -149,7 +157,7 @@ def events_of(claims: DataFrame, t: dict[str, DataFrame], as_of: str, settings:
     """Clustered and corroborated events with ids, counterparts and labels as of their dates."""
     keys = ["company_id", "action"]
     e = membership.corroborated(membership.anchored_clusters(claims, keys, "effective_date"), keys)
-    more = claims.select("claim_id", "counterpart_ticker", "notes", "refs")
+    more = claims.select("claim_id", "counterpart_ticker", "notes", "refs").dropDuplicates(["claim_id"])
     named = t["companies"].select("company_id", "canonical_name")
     e = e.join(more, "claim_id").join(named, "company_id", "left").withColumn("name", F.coalesce("name", "canonical_name")).drop("canonical_name")
     # today's label, in a 'date added' claim, isn't always the one of that day

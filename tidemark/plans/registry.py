@@ -48,6 +48,14 @@ def membership_intervals(spark, sf):
     return membership.derive_intervals(w.claims(spark, sf))
 
 
+@query(
+    f"""WITH {w.SPELLS_CTE} SELECT event_id, company_id, effective_date, action, label, source_type FROM full_ WHERE action = 'REMOVE' OR nth = coalesce(over_nth, open_nth)
+    UNION ALL SELECT event_id, company_id, effective_date, action, label, source_type FROM claims WHERE action = 'TICKER_CHANGE'"""
+)
+def kept_events(spark, sf):
+    return membership.kept_events(w.claims(spark, sf)).select("event_id", "company_id", "effective_date", "action", "label", "source_type")
+
+
 @query(
     f"""WITH {w.SPELLS_CTE},
     issues AS (
@@ -407,22 +415,16 @@ def support_flag(spark, sf):
 
 
 _PAIRS = """
-l AS (SELECT DISTINCT o_custkey AS k, o_orderpriority AS label, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 40 = 0),
-r AS (SELECT DISTINCT o_custkey AS k, o_orderpriority AS label, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'O' AND o_custkey % 40 = 1),
-pairs AS (SELECT l.*, r.k AS other, r.label AS other_label, r.d AS other_date, abs(l.d - r.d) AS gap FROM l JOIN r ON l.label <> r.label AND abs(l.d - r.d) <= 3
-  WHERE NOT EXISTS (SELECT 1 FROM l x WHERE x.label = r.label AND abs(x.d - l.d) <= 10))"""
+o AS (SELECT DISTINCT o_orderstatus, o_custkey AS k, o_orderpriority || '-' || o_custkey AS label, CAST(o_orderdate AS DATE) AS d FROM orders),
+l AS (SELECT * FROM o WHERE o_orderstatus = 'F'), near AS (SELECT DISTINCT label, d + i::INTEGER AS d FROM l, range(-10, 11) s(i)),
+r AS (SELECT k AS other, label AS other_label, d AS other_date, d + i::INTEGER AS d FROM o, range(-3, 4) s(i) WHERE o_orderstatus = 'O'),
+pairs AS (SELECT l.k, l.label, l.d, r.other, r.other_label, r.other_date, abs(l.d - r.other_date) AS gap FROM l JOIN r ON l.d = r.d AND l.label <> r.other_label
+  WHERE NOT EXISTS (SELECT 1 FROM near x WHERE x.label = r.other_label AND x.d = l.d))"""
 
 
 @query(f"WITH {_PAIRS} SELECT k AS company_id, label, d AS on_date, gap::BIGINT AS gap, other_date, other_label, other FROM (SELECT *, row_number() OVER (PARTITION BY k, label, d ORDER BY gap, other_date, other_label, other) AS n FROM pairs) WHERE n = 1")
 def band_pairing(spark, sf):
-    o = w.table(spark, sf, "orders").select("o_orderstatus", F.col("o_custkey").alias("company_id"), F.col("o_orderpriority").alias("label"), F.to_date("o_orderdate").alias("on_date"))
-    left, right = o.where("o_orderstatus = 'F' AND company_id % 40 = 0").drop("o_orderstatus"), o.where("o_orderstatus = 'O' AND company_id % 40 = 1").drop("o_orderstatus")
-    return entities.pair_dates(left, right, "company_id")
-
-
-@query()
-def band_pairing_whole(spark, sf):
-    """All finished orders against all open ones, priority and customer as label; no SQL, tests compare it with all pairs."""
+    """All finished orders against all open ones, priority and customer as label."""
     o = w.table(spark, sf, "orders").select("o_orderstatus", F.col("o_custkey").alias("company_id"), F.concat_ws("-", "o_orderpriority", "o_custkey").alias("label"), F.to_date("o_orderdate").alias("on_date"))
     left, right = o.where("o_orderstatus = 'F'").drop("o_orderstatus"), o.where("o_orderstatus = 'O'").drop("o_orderstatus")
     return entities.pair_dates(left, right, "company_id")
@@ -476,21 +478,6 @@ def redirect_roots(spark, sf):
     return entities.roots(parts)
 
 
-@query(
-    """WITH s AS (SELECT o_custkey AS entity, min(CAST(o_orderdate AS DATE)) AS first_seen, max(CAST(o_orderdate AS DATE)) AS last_seen FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 3 = 0 AND o_orderdate < DATE '1995-06-01' GROUP BY 1),
-    h AS (SELECT o_custkey AS holder, min(CAST(o_orderdate AS DATE)) AS b_first FROM orders WHERE o_custkey % 50 = 1 AND o_orderdate >= DATE '1995-06-01' GROUP BY 1),
-    c AS (SELECT DISTINCT s.entity, h.holder, h.b_first - s.last_seen AS gap FROM s JOIN h ON h.b_first > s.last_seen AND h.b_first - s.last_seen <= 431 AND s.entity <> h.holder
-      WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = h.holder AND CAST(o.o_orderdate AS DATE) - 400 <= s.first_seen AND CAST(o.o_orderdate AS DATE) >= s.last_seen AND o.o_orderkey % 37 = 0))
-    SELECT entity AS a, min(holder) AS b, min(gap)::BIGINT AS gap FROM c GROUP BY entity HAVING min(holder) = max(holder)"""
-)
-def backfilled_rename(spark, sf):
-    o = w.table(spark, sf, "orders").withColumn("d", F.to_date("o_orderdate"))
-    s = o.where("o_orderstatus = 'F' AND o_custkey % 3 = 0 AND d < date'1995-06-01'").groupBy(F.col("o_custkey").alias("entity")).agg(F.min("d").alias("first_seen"), F.max("d").alias("last_seen"))
-    h = o.where("o_custkey % 50 = 1 AND d >= date'1995-06-01'").groupBy(F.col("o_custkey").alias("holder")).agg(F.min("d").alias("first_seen"))
-    iv = o.where("o_orderkey % 37 = 0").select(F.col("o_custkey").alias("holder"), F.date_sub("d", 400).alias("start"), F.col("d").alias("end"))
-    return entities.backfilled(s, iv, h)
-
-
 @query("SELECT c_custkey AS company_id, 1::BIGINT AS tier FROM customer WHERE CAST(c_custkey AS VARCHAR) = '42'")
 def find_company_by_id(spark, sf):
     c = w.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("label"), "c_custkey")
