@@ -459,6 +459,15 @@ def test_keep_one(spark):
     assert dart_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_loses_no_text(spark):
+    """Ids repeat with other texts: each text is a document; of repeated rows of one id and text one stays."""
+    one, two, three = ("".join(random.Random(k).choices("abcdefgh ", k=900)) for k in range(3))
+    docs = docs_of(spark, [(1, one, "a"), (1, two, "b"), (2, one, "a"), (3, three, "a"), (3, three, "b"), (4, two + " and", "a"), (5, "", "a"), (5, None, "a"), (None, one, "c")])
+    kept = [(r["doc_id"], r["text"]) for r in dart_dedup.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, one), (1, two), (3, three), (5, ""), (5, None), (None, one)], key=str)
+    assert dart_dedup.keep_one(docs.limit(0)).count() == 0
+
+
 # -- 8 ----------------------------------------------------------------------------------------------------------------
 
 
