@@ -1,4 +1,4 @@
-"""Streaming variants: memberships kept per key as claims arrive, anchored clusters as state, deduplicated puts."""
+"""Streaming variants: memberships kept per key as claims arrive, windowed changes, deduplicated puts."""
 
 from __future__ import annotations
 
