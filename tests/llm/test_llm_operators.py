@@ -560,6 +560,48 @@ def test_token_counts_against_the_library(spark):
     assert machine._long(texts[-1] * 9, 100) == len(library.encode(texts[-1] * 9))
 
 
+def test_state_maps_compose_like_one_walk():
+    """Chunks that remember what came before them: runs of one character, short periods, few characters."""
+    import sentencepiece
+
+    model = tokenizer_file("piece_bpe_32k.model")
+    library, machine = sentencepiece.SentencePieceProcessor(model_file=model), token_counts.piece_transducer(model)
+    rng = random.Random(3)
+    texts = ["a" * 7001, "=" * 6003, "-=" * 3000, " " * 5002, "abc" * 1999, "*" * 2000 + "a" * 2000, "日" * 3000]
+    texts += ["".join(rng.choice(letters) * rng.randint(1, 40) for _ in range(200)) for letters in ("a=", "-_ ", "ax0") for _ in range(4)]
+    want = [len(library.encode(t)) for t in texts]
+    assert machine.counts(texts) == want
+    for chunk in (1, 2, 7, 64, 100_000):
+        for t, n in zip(texts[:9], want):
+            symbols = machine.symbol_of[np.frombuffer(("▁" + t[:900]).encode("utf-32-le"), dtype="<u4")]
+            adds, state = machine.run(symbols, machine.root, chunk)
+            walked, entry = [], machine.root
+            for x in symbols:
+                to, more = machine.step(np.array([entry]), np.array([x], dtype=np.int64))
+                entry = int(to[0])
+                walked.append(int(more[0]))
+            assert adds.tolist() == walked and state == entry
+            assert sum(walked) == len(library.encode(t[:900]))
+    assert [machine._long(t, 1000) for t in texts] == want
+
+
+def test_composition_of_maps():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 8, 21):
+        maps = rng.integers(0, 5, size=(n, 5))
+        at = np.arange(5)
+        for i, row in enumerate(token_counts.composed(maps)):
+            at = maps[i][at]
+            assert row.tolist() == at.tolist()
+
+
+def test_token_counts_of_empty_and_repeated_rows(spark):
+    model = tokenizer_file("piece_bpe_32k.model")
+    assert token_counts.count_tokens(docs_of(spark, []), model).count() == 0
+    out = token_counts.count_tokens(docs_of(spark, ODD), model).collect()
+    assert len(out) == len(ODD) and [r["over_limit"] for r in out if r["doc_id"] == 6] == [True, True]
+
+
 # -- 10 ---------------------------------------------------------------------------------------------------------------
 
 

@@ -8,10 +8,13 @@ segmented on their own; and a sequence of pieces is the segmentation of their te
 pairs are depends on a token only through the merges that its right edge allows, so tokens fall into classes.
 
 States are made when a text first needs them, like those of a lazy regular-expression automaton, and thrown away
-between batches once there are too many of them. A batch is one symbol stream cut into chunks of equal length, all of
-which advance together. Each starts from the root state, as a guess; then the chunks' maps are composed in a scan over
-the chunks: each takes its predecessor's last state and runs again until it meets the states of its first run, from
-where on both are the same. A chunk that never meets them hands its new last state on, until no state changes.
+between batches once there are too many of them. A batch is one symbol stream cut into chunks of equal length. A chunk's
+map says for each state that may enter it in which state it ends and what its symbols add. As there is no end to the
+states, a map is made for the root and for whatever its predecessor's map leads to, until that holds nothing new; equal
+chunks share their runs, and a run stops where it meets the one from the root. All runs of a round advance together. The
+maps, then closed, are composed by a parallel prefix scan of log2(chunks) steps, which gives the state that enters each
+chunk. Where nothing is remembered over a chunk that takes two rounds; in runs of one character, as many as the phases
+that a piece may have.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; a character that the vocabulary lacks counts one token
 per UTF-8 byte; one row is returned per input row, repeated ones too; other columns are not read.
@@ -34,6 +37,17 @@ RESET, N_SPECIAL = 0, 5  # symbol 0 ends a text; 1 to 4: an unknown character of
 SPACE = "▁"
 _NONE = -1
 _STATE = struct.Struct("<iii")
+_SHIFT = 32  # a chunk and a state in one number
+_LOW = (1 << _SHIFT) - 1
+
+
+def composed(maps: np.ndarray) -> np.ndarray:
+    """Row i: the composition of the maps 0 to i, the first applied first (Hillis and Steele's scan)."""
+    done = 1
+    while done < len(maps):
+        maps = np.concatenate([maps[:done], np.take_along_axis(maps[done:], maps[:-done], axis=1)])
+        done *= 2
+    return maps
 
 
 class Merges:
@@ -213,35 +227,74 @@ class Transducer:
         value = rows[:, 1]
         return value >> 16, (value & 0xFFFF) - 0x8000
 
+    def _from(self, entries: np.ndarray, stream: np.ndarray, states: np.ndarray, adds: np.ndarray, record: bool) -> np.ndarray:
+        """Runs the columns of stream from their entries until each meets the states already known for it (record: there
+        are none yet); fills in adds and, to record, states; gives the last states."""
+        last = states[-1].copy()
+        now, left = entries, np.arange(len(entries))
+        for t in range(len(stream)):
+            now, adds[t, left] = self.step(now, stream[t, left].astype(np.int64))
+            if record:
+                states[t] = now
+                continue
+            apart = states[t, left] != now
+            now, left = now[apart], left[apart]
+            if not len(left):
+                return last
+        last[left] = now
+        return last
+
     def run(self, symbols: np.ndarray, entry: int, chunk: int = 256) -> tuple[np.ndarray, int]:
         """The tokens that each symbol adds (and may take back), and the last state."""
         n = len(symbols)
-        lanes = max(1, -(-n // chunk))
-        stream = np.full(lanes * chunk, RESET, dtype=np.int64)
+        if not n:
+            return np.zeros(0, dtype=np.int32), entry
+        lanes = -(-n // chunk)
+        stream = np.full(lanes * chunk, RESET, dtype=np.uint16)
         stream[:n] = symbols
-        stream = np.ascontiguousarray(stream.reshape(lanes, chunk).T)
-        states = np.empty((chunk, lanes), dtype=np.int64)
-        adds = np.empty((chunk, lanes), dtype=np.int32)
-        now = np.full(lanes, self.root, dtype=np.int64)
-        for t in range(chunk):
-            now, adds[t] = self.step(now, stream[t])
-            states[t] = now
-        enters = np.concatenate([[entry], states[-1, :-1]])
-        redo = np.flatnonzero(enters != self.root)
-        while len(redo):
-            now, left = enters[redo], redo
-            for t in range(chunk):
-                now, more = self.step(now, stream[t, left])
-                adds[t, left] = more
-                apart = states[t, left] != now
-                states[t, left] = now
-                now, left = now[apart], left[apart]
-                if not len(left):
-                    break
-            redo = left[left + 1 < lanes] + 1  # their predecessors ended in another state than was thought
-            enters[redo] = states[-1, redo - 1]
-        at = n - 1
-        return adds.T.reshape(-1)[:n], int(states[at % chunk, at // chunk]) if n else entry
+        _, first, content = np.unique(stream.view(np.dtype((np.void, 2 * chunk))), return_index=True, return_inverse=True)
+        body = np.ascontiguousarray(stream.reshape(lanes, chunk)[first].T)  # a column per distinct chunk
+        states = np.empty(body.shape, dtype=np.int64)
+        adds = [np.empty(body.shape, dtype=np.int32)]
+        ends = self._from(np.full(len(first), self.root), body, states, adds[0], True)
+        run_of = {c << _SHIFT | self.root: c for c in range(len(first))}
+
+        # the states that may enter each chunk: closed under what its predecessor's map gives
+        lane, state = np.append(np.arange(lanes), 0), np.append(np.full(lanes, self.root), entry)
+        asked = np.unique(lane << _SHIFT | state)
+        pairs, runs = [], []
+        while len(asked):
+            lane, state = asked >> _SHIFT, asked & _LOW
+            keys = content[lane] << _SHIFT | state
+            new = np.array(sorted({k for k in keys.tolist() if k not in run_of}), dtype=np.int64)
+            if len(new):
+                c = new >> _SHIFT
+                more = adds[0][:, c]
+                run_of.update(zip(new.tolist(), range(len(ends), len(ends) + len(new))))
+                ends = np.append(ends, self._from(new & _LOW, body[:, c], states[:, c], more, False))
+                adds.append(more)
+            pairs.append(asked)
+            runs.append(np.array([run_of[k] for k in keys.tolist()], dtype=np.int64))
+            out = np.unique((lane + 1 << _SHIFT | ends[runs[-1]])[lane + 1 < lanes])
+            asked = out[~np.isin(out, np.concatenate(pairs))]
+        pairs, runs = np.concatenate(pairs), np.concatenate(runs)
+        order = np.argsort(pairs)
+        pairs, runs = pairs[order], runs[order]
+        lane = pairs >> _SHIFT
+        start = np.searchsorted(lane, np.arange(lanes))
+        here = np.zeros(lanes, dtype=np.int64)
+        here[0] = np.searchsorted(pairs, entry)
+        if lanes > 1:
+            # row i: the map from the states that may enter chunk i to those that may enter chunk i + 1
+            inner = np.flatnonzero(lane + 1 < lanes)
+            maps = np.zeros((lanes - 1, np.bincount(lane).max()), dtype=np.int64)
+            maps[lane[inner], inner - start[lane[inner]]] = np.searchsorted(pairs, lane[inner] + 1 << _SHIFT | ends[runs[inner]]) - start[lane[inner] + 1]
+            here[1:] = start[1:] + composed(maps)[:, here[0]]
+        taken = runs[here]
+        state = int(pairs[here[-1]] & _LOW)
+        for x in symbols[(lanes - 1) * chunk :]:
+            state = int(self.step(np.array([state]), np.array([x], dtype=np.int64))[0][0])
+        return np.concatenate(adds, axis=1)[:, taken].T.reshape(-1)[:n], state
 
     def counts(self, texts: list[str], block: int = 1 << 20) -> list[int]:
         if len(self.states) > self.most_states:
