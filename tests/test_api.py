@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.test_build import D, claim, world
 from tidemark.operators import reconcile
+from tidemark.plans import routes
 from tidemark.plans.api import Membership, name_unknown, reconciliation, sector_observations
 from tidemark.sinks import artefacts
 
@@ -25,7 +26,7 @@ def m(spark, built, tmp_path_factory):
     pages = spark.createDataFrame([(D("2008-01-01"), "AAA", "Industrials", "Machines", "u")], "on_date date, ticker string, gics_sector string, gics_sub_industry string, source_url string")
     built["sectors"] = sector_observations(pages, built)
     folder = str(tmp_path_factory.mktemp("db"))
-    artefacts.swap_tables({k: built[k] for k in ("companies", "names", "tickers", "events", "intervals", "issues", "sectors")}, folder)
+    artefacts.publish({k: built[k] for k in ("companies", "names", "tickers", "events", "intervals", "issues", "sectors")}, folder)
     return Membership.load(spark, folder)
 
 
@@ -78,3 +79,25 @@ def test_reconciliation(spark, m, built):
     assert "ZZZ" in text and "## Dates" in text
     assert name_unknown(built, spark.createDataFrame([(D("2012-01-01"), "BBB", "B")], "on_date date, ticker string, name string")).count() == built["companies"].count()
     assert F is not None
+
+
+def test_routes(m):
+    get = lambda target: routes.answer(m, target)
+    status, body = get("/constituents?date=2007-01-01")
+    assert status == 200 and body["count"] == 2 and {r["tickers"][0] for r in body["constituents"]} == {"AAA", "CCC"}
+    assert next(r for r in body["constituents"] if r["tickers"] == ["CCC"])["gics_sector"] is None
+    status, body = get("/changes?start_date=2010-01-01&end_date=2010-12-31&action=REMOVE")
+    assert status == 200 and [r["ticker_at_event"] for r in body["changes"]] == ["AAA"] and len(body["changes"][0]) == 17
+    assert get("/companies/aaa")[1]["companies"][0]["canonical_name"] == "Alpha Inc"
+    assert get("/companies/nobody%20at%20all")[0] == 404 and get("/nowhere")[0] == 404
+    assert get("/constituents?date=07/01/2007")[0] == 400 and get("/constituents")[0] == 422 and get("/memberships/longest?limit=x")[0] == 422
+    assert get("/memberships/longest?limit=1")[1]["memberships"][0]["company_name"] == "Gamma"
+    assert get("/exits?start_date=2010-01-01&end_date=2010-12-31&reason_category=acquisition")[1]["count"] == 1
+    assert get("/analytics/turnover?start_year=2010&end_year=2010")[1]["turnover"][0]["removals"] == 1
+    assert any(r["year"] == 2010 for r in get("/analytics/exit-reasons")[1]["exit_reasons"])
+    assert get("/analytics/sectors?date=2007-01-01")[1]["date"] == "2007-01-01"
+    assert get("/analytics/duration")[1]["histogram"][0]["label"] == "5-10y"
+    assert get("/analytics/survival")[1]["curve"][0]["survival"] == 1.0
+    assert get("/cemetery")[1]["companies"][0]["company_name"] == "Alpha Inc"
+    assert get("/quality")[1]["companies_needing_review"] == 0 and get("/health")[1]["status"] == "ok"
+    assert len(get("/")[1]["routes"]) == 14

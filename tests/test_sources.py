@@ -97,10 +97,16 @@ def test_tables_and_sinks(spark, tmp_path):
     artefacts.write_csv(df, str(tmp_path / "out"), one_file=True)
     assert tables.artefact(spark, str(tmp_path / "out"), "k string, l string, n string, d date").first() == ("a", "x;y", None, dt.date(2020, 1, 1))
     for k in ("one", "two"):
-        artefacts.swap_tables({"t": df.withColumn("k", F.lit(k))}, str(tmp_path / "db"))
+        artefacts.publish({"t": df.withColumn("k", F.lit(k))}, str(tmp_path / "db"))
         artefacts.append_run(spark, str(tmp_path / "db"), {"built_at": k})
         assert tables.stored_table(spark, str(tmp_path / "db"), "t").first()["k"] == k
     assert spark.read.parquet(str(tmp_path / "db/build_runs")).count() == 2
+    (tmp_path / "db/versions/99990101T000000000000-unfinished/t").mkdir(parents=True)
+    assert tables.stored_table(spark, str(tmp_path / "db"), "t").first()["k"] == "two"
+    artefacts.publish({"t": df}, str(tmp_path / "db"))
+    assert len(list((tmp_path / "db/versions").iterdir())) == 2
+    with pytest.raises(FileNotFoundError):
+        artefacts.current(spark, str(tmp_path / "nothing"))
     artefacts.write_log(df, str(tmp_path / "log"))
     artefacts.write_text(spark, str(tmp_path / "r.md"), "# é\n")
     assert (tmp_path / "r.md").read_text() == "# é\n"

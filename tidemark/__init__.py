@@ -1 +1,3 @@
 """Point-in-time membership analytics on Spark."""
+
+__version__ = "0.2.0"

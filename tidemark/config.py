@@ -19,7 +19,7 @@ EVIDENCE_WEIGHT = {"remove": 1.0, "snapshot": 1.0, "current": 1.0, "curated": 1.
 #: Kinds of sightings in the order in which they are trusted for when a label was in use.
 EVIDENCE_TIERS = (("snapshot", "remove", "current", "curated"), ("reference",), ("add",))
 
-CHANGES, DATE_ADDED, REVISION, REFERENCE, CURATED = "wikipedia_changes", "wikipedia_constituents", "wikipedia_revision", "reference_fja05680", "curated"
+CHANGES, DATE_ADDED, REVISION, REVISION_LOOKUP, REFERENCE, CURATED = "wikipedia_changes", "wikipedia_constituents", "wikipedia_revision", "wikipedia_revision_lookup", "reference_fja05680", "curated"
 #: Confidence of a claim, by source.
 SOURCE_CONFIDENCE = {CHANGES: 0.90, CHANGES + "_with_ref": 0.95, DATE_ADDED: 0.75, REVISION: 0.70, REFERENCE: 0.60, REFERENCE + "_opening": 0.50, CURATED: 0.99}
 
@@ -33,6 +33,7 @@ class Settings:
     raw_dir: str = "data/raw"
     curated_dir: str = "data/curated"
     build_dir: str = "data/build"
+    store_dir: str = "data/store"
     window_start: str = "2001-01-01"
     window_end: str = "2026-12-31"
     requests_per_second: float = 1.0

@@ -12,6 +12,7 @@ from ..config import CONTINUITY_DAYS
 from ..functions.dates import quarter_ends
 from ..functions.text import REASONS, compare_key
 from ..operators import analytics, entities, reconcile, temporal
+from ..sinks import artefacts
 
 SECTOR_COLUMNS = "company_id string, ticker string, as_of_date date, gics_sector string, gics_sub_industry string, source_url string"
 
@@ -37,6 +38,8 @@ class Membership:
     issues: DataFrame
     sectors: DataFrame
     as_of: str
+    discrepancies: DataFrame | None = None
+    latest_run: DataFrame | None = None
 
     @classmethod
     def of(cls, built: dict[str, DataFrame], sectors: DataFrame | None = None, as_of: str = "2026-01-01") -> Membership:
@@ -45,9 +48,12 @@ class Membership:
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str, as_of: str = "2026-01-01") -> Membership:
-        """From tables that sinks.artefacts.swap_tables() wrote."""
-        t = lambda n: spark.read.parquet(f"{folder}/{n}")
-        return cls(t("companies"), t("names"), t("tickers"), t("events"), t("intervals"), t("issues"), t("sectors"), as_of)
+        """From the current version that sinks.artefacts.publish() wrote."""
+        where = artefacts.current(spark, folder)
+        t = lambda n: spark.read.parquet(f"{where}/{n}")
+        known = artefacts.exists(spark, f"{where}/discrepancies")
+        run = artefacts.latest_run(spark, folder).select("manifest_json") if artefacts.exists(spark, f"{folder}/build_runs") else None
+        return cls(t("companies"), t("names"), t("tickers"), t("events"), t("intervals"), t("issues"), t("sectors"), as_of, t("discrepancies") if known else None, run)
 
     @property
     def shown(self) -> DataFrame:
@@ -75,6 +81,12 @@ class Membership:
     def changes(self, start: str, end: str, actions: list[str] | None = None, min_confidence: float = 0.0) -> DataFrame:
         return temporal.changes_in_range(self.events, iso(start), iso(end), actions, min_confidence).orderBy("effective_date", "action", "label", "event_id")
 
+    def shaped(self, events: DataFrame) -> DataFrame:
+        """Events with the 17 fields that are shown; what the claims don't carry is null."""
+        named = {"ticker_at_event": "label", "company_name": "name"}
+        text = ("event_id", "effective_date", "action", "company_id", "ticker_at_event", "company_name", "reason", "reason_category", "counterpart_company_id", "source_url", "source_type", "scraped_at", "raw_sha256", "confidence", "corroborating_sources", "refs", "notes")
+        return events.select(*[(F.col(named.get(c, c)) if named.get(c, c) in events.columns else F.lit(None).cast("string")).alias(c) for c in text])
+
     def find(self, query: str) -> DataFrame:
         known = self.names.select("company_id", "name").union(self.companies.select("company_id", F.col("canonical_name").alias("name")))
         return entities.find(query, self.companies, self.tickers, known).join(self.companies, "company_id").orderBy("company_id")
@@ -126,6 +138,12 @@ class Membership:
         """Issues by kind, and how many companies are to be reviewed."""
         return analytics.issue_counts(self.issues).orderBy("kind"), self.companies.where("needs_review").count()
 
+    def discrepancy_counts(self) -> DataFrame:
+        """Ranges of disagreement by comparison, severity and kind; none where the build compared nothing."""
+        if self.discrepancies is None:
+            return self.events.sparkSession.createDataFrame([], "comparison string, severity string, kind string, n long")
+        return analytics.discrepancy_counts(self.discrepancies).orderBy("comparison", "severity", "kind")
+
 
 def sector_observations(rows: DataFrame, built: dict[str, DataFrame]) -> DataFrame:
     """Page rows (on_date, ticker, gics_sector, gics_sub_industry, source_url) with the company that held the label then."""

@@ -1,4 +1,4 @@
-"""Build artefacts: Parquet tables swapped in as a whole, CSV exports, logs, manifest, report and run history."""
+"""Build artefacts: versions of Parquet tables, CSV exports, logs, manifest, report and run history."""
 
 from __future__ import annotations
 
@@ -27,27 +27,45 @@ def write_csv(df: DataFrame, path: str, fields: list[str] | None = None, one_fil
     (out.coalesce(1) if one_file else out).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
 
 
-def write_log(df: DataFrame, path: str) -> None:
+def write_log(df: DataFrame, path: str, mode: str = "append") -> None:
     """One JSON line per decision."""
-    df.write.mode("append").json(path)
+    df.write.mode(mode).json(path)
 
 
-def swap_tables(tables: dict[str, DataFrame], folder: str) -> None:
-    """Writes all tables beside their place, then moves each in: a reader sees the old or the new table, never a part."""
+def publish(tables: dict[str, DataFrame], folder: str) -> str:
+    """Writes all tables as one new version and then makes it the current one with a single small file.
+
+    A reader that asked for current() sees all tables of one version; a failure before that file leaves the old version.
+    The version before stays for readers that are still at it; older and unfinished ones go. One writer at a time.
+    """
     spark = next(iter(tables.values())).sparkSession
-    stage = f"{folder}/_staged-{uuid.uuid4().hex}"
+    version = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f-") + uuid.uuid4().hex[:8]
     for name, df in tables.items():
-        df.write.parquet(f"{stage}/{name}")
-    for name in tables:
-        new, fs = _fs(spark, f"{stage}/{name}")
-        old, _ = _fs(spark, f"{folder}/{name}")
-        gone, _ = _fs(spark, f"{stage}/_old-{name}")
-        if fs.exists(old):
-            fs.rename(old, gone)
-        if not fs.rename(new, old):
-            raise OSError(f"{name} could not be moved to {folder}")
-    path, fs = _fs(spark, stage)
-    fs.delete(path, True)
+        df.write.parquet(f"{folder}/versions/{version}/{name}")
+    write_text(spark, f"{folder}/versions/{version}/_COMPLETE", "\n".join(tables) + "\n")
+    complete = _complete(spark, folder)
+    root, fs = _fs(spark, f"{folder}/versions")
+    for status in fs.listStatus(root):
+        if status.getPath().getName() not in complete[-2:]:
+            fs.delete(status.getPath(), True)
+    return f"{folder}/versions/{version}"
+
+
+def _complete(spark: SparkSession, folder: str) -> list[str]:
+    pattern, fs = _fs(spark, f"{folder}/versions/*/_COMPLETE")
+    return sorted(s.getPath().getParent().getName() for s in fs.globStatus(pattern) or [])
+
+
+def current(spark: SparkSession, folder: str) -> str:
+    """The folder of the latest complete version."""
+    if not (found := _complete(spark, folder)):
+        raise FileNotFoundError(f"no complete version of tables in {folder}")
+    return f"{folder}/versions/{found[-1]}"
+
+
+def exists(spark: SparkSession, where: str) -> bool:
+    path, fs = _fs(spark, where)
+    return fs.exists(path)
 
 
 def append_run(spark: SparkSession, folder: str, manifest: dict) -> None:
@@ -68,9 +86,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def to_json(df: DataFrame) -> DataFrame:
     """Each row as a JSON document, dates in ISO form."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json"))
 
 
 class JsonLines(logging.Formatter):

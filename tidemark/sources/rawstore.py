@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -122,3 +123,19 @@ class Fetcher:
             if attempt + 1 < self.attempts:
                 self.sleep(min(30.0, 2.0 * 2**attempt))
         raise OSError(f"{url}: status {status}")
+
+
+def fetch_revisions(fetcher: Fetcher, dates: Iterable[str], lookup_source: str, lookup_url: str, source: str, page_url: str) -> list[tuple[str, int]]:
+    """(date, revid) of the revisions fetched: for each date the lookup ({date} in its url) names one, whose page ({revid}
+    in its url) is stored under the note that revisions() reads. Revisions never change, so what is stored is not fetched
+    again; a date without a revision is left out."""
+    found = []
+    for on in dates:
+        _, body = fetcher.fetch(lookup_source, lookup_url.replace("{date}", on), ext="json")
+        match = re.search(rb'"revid":\s*(\d+)', body)
+        if match is None:
+            continue
+        revid = int(match[1])
+        fetcher.fetch(source, page_url.replace("{revid}", str(revid)), note=f"snapshot for {on}")
+        found.append((on, revid))
+    return found

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, normalize_ticker, parse_date
+from ..sinks.artefacts import current
 
 #: Where each source's bodies stand, and what they are.
 SOURCES = {
@@ -55,7 +56,15 @@ def artefact(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def stored_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+    """A table of the current version that sinks.artefacts.publish() wrote."""
+    return spark.read.parquet(f"{current(spark, folder)}/{name}")
+
+
+def addresses(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(source, url) in the order of sources.csv: what a scrape fetches. A url of the revision source holds {revid}, one of
+    its lookup {date}. The file is kept by hand and small."""
+    rows = _csv(spark, folder, "sources.csv", "source string, url string").orderBy("position")
+    return [(r["source"], r["url"]) for r in rows.collect()]
 
 
 def jdbc_table(spark: SparkSession, url: str, name: str, **options: str) -> DataFrame:
