@@ -64,7 +64,7 @@ def revision_of(text) -> tuple:
 
 
 def put(raw_dir: str, source: str, url: str, body: bytes, status: int = 200, content_type: str = "", ext: str = "html", note: str = "", at: datetime | None = None) -> dict:
-    """Adds a manifest line; the body is written unless the newest one of that URL is the same. Nothing is overwritten."""
+    """Adds a manifest line; the body is written unless it is there already. Nothing is overwritten."""
     at = at or datetime.now(timezone.utc)
     folder, digest = Path(raw_dir) / source, hashlib.sha256(body).hexdigest()
     folder.mkdir(parents=True, exist_ok=True)
@@ -76,8 +76,10 @@ def put(raw_dir: str, source: str, url: str, body: bytes, status: int = 200, con
         where = newest["path"]
     else:
         where = f"{source}/{at:%Y%m%dT%H%M%SZ}_{digest[:10]}.{ext}"
-        with (Path(raw_dir) / where).open("xb") as f:
-            f.write(body)
+        file = Path(raw_dir) / where
+        if not file.exists() or file.read_bytes() != body:  # another URL may have given the same body in the same second
+            with file.open("xb") as f:
+                f.write(body)
     row = {"source": source, "url": url, "fetched_at": f"{at:%Y-%m-%dT%H:%M:%SZ}", "sha256": digest, "path": where, "status": status, "content_type": content_type, "n_bytes": len(body), "note": note}
     with lines.open("a") as f:
         f.write(json.dumps(row) + "\n")
