@@ -68,7 +68,7 @@ def run_build(spark: SparkSession, settings: Settings, as_of: str, reference: bo
     for k in TABLES:
         artefacts.write_csv(m.shaped(t[k]) if k == "events" else t[k], f"{out}/csv/{k}")
     artefacts.write_csv(problems, f"{out}/csv/parse_problems")
-    artefacts.write_csv(built["resolved"].drop("claim_id", "label"), f"{out}/csv/candidates")
+    artefacts.write_csv(built["resolved"].drop("claim_id", "label", "rank"), f"{out}/csv/candidates")
     artefacts.write_log(built["log"], f"{out}/resolution_log", mode="overwrite")
     unknown = t["companies"].where("needs_review").select("company_id", "canonical_name")
     manifest = {

@@ -22,7 +22,7 @@ from ..operators.graph import checkpointed, connected
 from ..operators.temporal import overlap_flag, snapshots_to_intervals
 
 _OUT = {
-    "claims": "effective_date date, action string, ticker string, name string, source_type string, confidence double, reason string, reason_category string, counterpart_ticker string, notes string, refs array<string>, company_id string",
+    "claims": "effective_date date, action string, ticker string, name string, source_type string, confidence double, reason string, reason_category string, counterpart_ticker string, notes string, refs array<string>, rank int, company_id string",
     "companies": "company_id string, canonical_name string, name_key string, cik string, needs_review boolean, notes string",
     "names": "company_id string, name string, first_seen date",
     "evidence": "company_id string, label string, on_date date, kind string",
@@ -43,35 +43,33 @@ def _hints(curated: dict[str, DataFrame] | None) -> dict:
 
 
 def _edges(spark: SparkSession, claims: DataFrame, sightings: DataFrame, intervals: DataFrame, hints: dict) -> DataFrame:
-    """What can affect each other: labels (t:), name keys (n:), as edges."""
+    """What can affect each other: labels (t:), name keys (n:), and the days (s:, p:) on which reference intervals meet
+    each other or named claims, as edges. Those of a day are linked to the day, not to one another, so edges grow in
+    proportion to the rows. Whether names are alike is only asked of holders of one label, and needs no edge."""
     label, key = lambda c: F.concat(F.lit("t:"), c), lambda c: F.concat(F.lit("n:"), c)
-    aliases = {}
-    for a in hints.get("aliases", []):
-        aliases.setdefault(identity.name_key(a["alias_name"]), a["canonical_name"])
-    alias = spark.createDataFrame([(k, identity.name_key(v)) for k, v in aliases.items()], "k string, c string")
-    named = claims.select("ticker", "name").union(sightings.select("ticker", "name")).where(F.coalesce("name", F.lit("")) != "").distinct().withColumn("k", normalize_name(F.col("name")))
-    by_name = named.select(label(F.col("ticker")).alias("a"), key(F.col("k")).alias("b"))
-    by_alias = alias.select(key(F.col("k")).alias("a"), key(F.col("c")).alias("b"))
-    # names are compatible if one key begins with the other: those of one first word stand together
-    first = named.select(key(F.col("k")).alias("a"), F.concat(F.lit("w:"), F.element_at(F.split("k", " "), 1)).alias("b"))
+    aliases = {(identity.name_key(a["alias_name"]), other) for a in hints.get("aliases", []) for other in (identity.name_key(a["canonical_name"]), a.get("entity_key")) if other}
+    by_alias = spark.createDataFrame([(f"n:{k}", f"n:{c}") for k, c in sorted(aliases)], "a string, b string")
+    named = claims.select("ticker", "name").union(sightings.select("ticker", "name")).where(F.coalesce("name", F.lit("")) != "").distinct()
+    by_name = named.select(label(F.col("ticker")).alias("a"), key(normalize_name(F.col("name"))).alias("b"))
     changed = [(f"t:{c['old_ticker']}", f"t:{c['new_ticker']}") for c in hints.get("ticker_changes", [])] + [(f"t:{c['new_ticker']}", f"n:{identity.name_key(c['company_name'])}") for c in hints.get("ticker_changes", [])]
     hinted = spark.createDataFrame(changed, "a string, b string")
     rows = claims.where((F.coalesce("counterpart_ticker", F.lit("")) != "") & ((F.col("reason_category") == identity.CHANGE_REASON) | F.col("ticker").isin([c["new_ticker"] for c in hints.get("ticker_changes", [])] or [""])))
     halves = rows.select(label(F.col("ticker")).alias("a"), label(F.col("counterpart_ticker")).alias("b"))
-    came, went = intervals.select(F.col("start").alias("d"), F.col("ticker").alias("y")), intervals.where(F.col("end").isNotNull()).select(F.col("end").alias("d"), F.col("ticker").alias("x"))
-    swaps = came.join(went, "d").where("x <> y").select(label(F.col("x")).alias("a"), label(F.col("y")).alias("b"))
-    told = claims.where(~F.col("source_type").isin(DATE_ADDED, REFERENCE)).select("action", F.col("ticker").alias("z"), "effective_date")
-    ends = came.select(F.lit(ADD).alias("action"), F.col("d"), F.col("y").alias("t")).union(went.select(F.lit(REMOVE), "d", "x"))
-    spread = ends.withColumn("effective_date", F.explode(F.sequence(F.date_sub("d", 3), F.date_add("d", 3))))
-    listed = ends.select("action", F.col("t").alias("z"), F.explode(F.sequence(F.date_sub("d", 13), F.date_add("d", 13))).alias("effective_date")).distinct()
-    free = told.join(listed, ["action", "z", "effective_date"], "left_anti")
-    pairs = spread.join(free, ["action", "effective_date"]).where("t <> z").select(label(F.col("t")).alias("a"), label(F.col("z")).alias("b"))
+    came, went = intervals.select(F.lit(ADD).alias("action"), F.col("start").alias("d"), F.col("ticker").alias("t")), intervals.where(F.col("end").isNotNull()).select(F.lit(REMOVE).alias("action"), F.col("end").alias("d"), F.col("ticker").alias("t"))
+    ends = came.union(went)
+    both = ends.groupBy("d").agg(F.count_distinct("action").alias("n")).where("n = 2").select("d")
+    swaps = ends.join(both, "d", "left_semi").select(label(F.col("t")).alias("a"), F.concat(F.lit("s:"), F.col("d").cast("string")).alias("b"))
+    told = claims.where(~F.col("source_type").isin(DATE_ADDED, REFERENCE)).select("action", F.col("ticker").alias("t"), F.col("effective_date").alias("d"))
+    listed = ends.select("action", "t", F.explode(F.sequence(F.date_sub("d", 13), F.date_add("d", 13))).alias("d")).distinct()
+    free = told.join(listed, ["action", "t", "d"], "left_anti")
+    near = ends.withColumn("d", F.explode(F.sequence(F.date_sub("d", 3), F.date_add("d", 3)))).join(free.select("action", "d").distinct(), ["action", "d"], "left_semi")
+    pairs = near.select("action", "t", "d").union(free.select("action", "t", "d")).select(label(F.col("t")).alias("a"), F.concat_ws(":", F.lit("p"), "action", F.col("d").cast("string")).alias("b"))
     suffix = intervals.where(F.col("ticker").endswith("Q") & (F.length("ticker") >= 4)).select(label(F.col("ticker")).alias("a"), label(claim_ops.without_bankruptcy_suffix(F.col("ticker"))).alias("b"))
     hidden = sightings.join(intervals.select("ticker").distinct(), "ticker", "left_anti").groupBy("ticker").agg(F.min("on_date").alias("first_seen"), F.max("on_date").alias("last_seen")).select(F.col("ticker").alias("entity"), "first_seen", "last_seen")
     shown = sightings.groupBy(F.col("ticker").alias("holder")).agg(F.min("on_date").alias("first_seen"))
     back = entities.backfilled(hidden, intervals.select(F.col("ticker").alias("holder"), "start", "end"), shown).select(label(F.col("a")).alias("a"), label(F.col("b")).alias("b"))
     alone = claims.select("ticker").union(sightings.select("ticker")).union(intervals.select("ticker")).distinct().select(label(F.col("ticker")).alias("a"), label(F.col("ticker")).alias("b"))
-    return by_name.union(by_alias).union(first).union(hinted).union(halves).union(swaps).union(pairs).union(suffix).union(back).union(alone)
+    return by_name.union(by_alias).union(hinted).union(halves).union(swaps).union(pairs).union(suffix).union(back).union(alone)
 
 
 def resolve_identities(spark: SparkSession, claims: DataFrame, sightings: DataFrame, intervals: DataFrame, hints: dict, as_of: str) -> dict[str, DataFrame]:
@@ -99,9 +97,10 @@ def resolve_identities(spark: SparkSession, claims: DataFrame, sightings: DataFr
 
 
 def _content_id() -> Column:
-    """A number from all that a claim says, so ties fall the same way however the claims are dealt. Equal claims share it."""
+    """A number by which ties fall, however the claims are dealt: what came before what went (of the halves of a change the
+    new label's), then what was inferred, then the reference; among these a hash of all that a claim says. Equal claims share it."""
     said = ("company_id", "effective_date", "action", "ticker", "name", "source_type", "confidence", "reason", "reason_category", "counterpart_ticker", "notes", "refs")
-    return F.shiftrightunsigned(F.xxhash64(*said), 1)
+    return F.shiftleft(F.col("rank").cast("long"), 61) + F.shiftrightunsigned(F.xxhash64(*said), 3)
 
 
 def build(claims: DataFrame, sightings: DataFrame | None = None, snapshots: DataFrame | None = None, curated: dict[str, DataFrame] | None = None, as_of: str = "2026-01-01", settings: Settings = Settings()) -> dict[str, DataFrame]:  # noqa: B008
@@ -133,7 +132,7 @@ def build(claims: DataFrame, sightings: DataFrame | None = None, snapshots: Data
     spoken = bounds.select(
         "effective_date", "action", "ticker", F.lit("").alias("name"), F.lit(REFERENCE).alias("source_type"), F.when(opening, 0.5).otherwise(0.6).alias("confidence"),
         F.when(opening, "Member at the start of the data; it joined earlier.").otherwise("").alias("reason"), F.lit("other_unknown").alias("reason_category"), F.lit("").alias("counterpart_ticker"),
-        F.when(opening, "opening membership (left-censored); union of reference intervals").otherwise("union of reference intervals").alias("notes"), F.array().cast("array<string>").alias("refs"), "company_id",
+        F.when(opening, "opening membership (left-censored); union of reference intervals").otherwise("union of reference intervals").alias("notes"), F.array().cast("array<string>").alias("refs"), F.lit(3).alias("rank"), "company_id",
     )
     inferred = named.where((F.col("action") == "TICKER_CHANGE") & ((F.col("source_type") == REFERENCE) | (F.col("notes") == "curated")))
     spoken = claim_ops.retag_changes(spoken, inferred)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, ids, text
 from ..operators import analytics, claims, entities, membership, reconcile, temporal
 from . import worlds as w
+from .build import build
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -587,3 +588,45 @@ def html_links(spark, sf):
     from ..sources.html import page_links
 
     return page_links(w.table(spark, sf, "pages"), "page_id", "html").groupBy("page_id").agg(F.count("href").alias("n_links"))
+
+
+# -- builds -----------------------------------------------------------------------------------------------------------
+
+
+def _built(spark, sf):
+    claimed, sightings = w.build_inputs(spark, sf)
+    return build(claimed, sightings, as_of=w.AS_OF)
+
+
+@query(f"WITH {w.BUILD_CTE} SELECT company_name, entry_date, exit_date, entry_ticker, exit_ticker FROM labelled")
+def build_intervals(spark, sf):
+    """Identities, events and intervals of a whole build: the spells of the customers come back under their labels."""
+    b = _built(spark, sf)
+    named = b["companies"].select("company_id", F.col("canonical_name").alias("company_name"))
+    gone = F.when(F.col("exit_date").isNotNull(), F.col("exit_ticker"))
+    return b["intervals"].join(named, "company_id").select("company_name", "entry_date", "exit_date", "entry_ticker", gone.alias("exit_ticker"))
+
+
+@query(
+    f"""WITH {w.BUILD_CTE}
+    SELECT company_name, entry_date AS effective_date, 'ADD' AS action, entry_ticker AS label FROM labelled
+    UNION ALL SELECT company_name, exit_date, 'REMOVE', exit_ticker FROM labelled WHERE exit_date IS NOT NULL
+    UNION ALL SELECT c_name, changed, 'TICKER_CHANGE', 'N' || company_id FROM moved"""
+)
+def build_events(spark, sf):
+    """The events of a whole build, changes of labels among them."""
+    b = _built(spark, sf)
+    named = b["companies"].select("company_id", F.col("canonical_name").alias("company_name"))
+    return b["events"].drop("name").join(named, "company_id").select("company_name", "effective_date", "action", "label")
+
+
+@query(
+    f"""WITH {w.BUILD_CTE}, t AS (SELECT DISTINCT company_id, company_name, changed FROM labelled)
+    SELECT 'C' || substr(sha1(regexp_replace(lower(company_name), '[^a-z0-9]+', ' ', 'g')), 1, 10) AS company_id, company_name,
+           CASE WHEN changed IS NULL THEN 1 ELSE 2 END AS n_labels, false AS needs_review FROM t"""
+)
+def build_companies(spark, sf):
+    """The companies of a whole build with how many labels they have had."""
+    b = _built(spark, sf)
+    labels = b["tickers"].groupBy("company_id").agg(F.count_distinct("label").alias("n_labels"))
+    return b["companies"].join(labels, "company_id").select("company_id", F.col("canonical_name").alias("company_name"), "n_labels", "needs_review")

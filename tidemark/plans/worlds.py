@@ -136,6 +136,51 @@ members AS (
 )
 
 
+def build_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(claims, sightings) for plans.build: every customer's spells as named rows of a table of changes, a change of label
+    within the spell that holds its day for each seventh customer, and a sighting on each 1 July. Every fourth removal has no name."""
+    named = spells(spark, sf_dir).join(names(spark, sf_dir), "company_id").withColumn("renamed", F.date_add(F.to_date(F.lit("1998-01-01")), (F.col("company_id") % 300).cast("int")))
+    inside = (F.col("company_id") % 7 == 0) & (F.col("entry_date") < F.date_sub("renamed", 40)) & (F.coalesce("exit_date", F.to_date(F.lit("9999-12-31"))) > F.date_add("renamed", 40))
+    changes = named.where(inside).select("company_id", "company_name", "renamed")
+    m = named.drop("renamed").join(changes.select("company_id", "renamed"), "company_id", "left")
+    old, new = F.concat(F.lit("K"), F.col("company_id").cast("string")), F.concat(F.lit("N"), F.col("company_id").cast("string"))
+
+    def label(on: str):
+        return F.when(F.col(on) >= F.col("renamed"), new).otherwise(old)
+
+    def rows(df: DataFrame, on: str, action: str, ticker, name, reason, other) -> DataFrame:
+        return df.select(
+            F.col(on).alias("effective_date"), F.lit(action).alias("action"), ticker.alias("ticker"), name.alias("name"), F.lit("wikipedia_changes").alias("source_type"), F.lit(0.9).alias("confidence"),
+            reason.alias("reason"), other.alias("counterpart_ticker"), F.lit("").alias("notes"), F.array().cast("array<string>").alias("refs"),
+        )
+
+    none, why = F.lit(""), F.lit("Ticker symbol changed.")
+    gone = F.when(F.col("company_id") % 4 == 0, "").otherwise(F.col("company_name"))
+    claims_ = rows(m, "entry_date", "ADD", label("entry_date"), F.col("company_name"), none, none)
+    claims_ = claims_.union(rows(m.where(F.col("exit_date").isNotNull()), "exit_date", "REMOVE", label("exit_date"), gone, F.lit("Market capitalization changes."), none))
+    claims_ = claims_.union(rows(changes, "renamed", "ADD", new, F.col("company_name"), why, old)).union(rows(changes, "renamed", "REMOVE", old, F.col("company_name"), why, new))
+    july = F.sequence(F.year("entry_date"), F.year(F.coalesce("exit_date", F.to_date(F.lit(AS_OF)))))
+    seen = m.withColumn("y", F.explode(july)).withColumn("on_date", F.make_date("y", F.lit(7), F.lit(1))).where((F.col("on_date") >= F.col("entry_date")) & (F.col("on_date") < F.coalesce("exit_date", F.to_date(F.lit(AS_OF)))))
+    sightings = seen.select("on_date", label("on_date").alias("ticker"), F.col("company_name").alias("name"), F.lit(None).cast("string").alias("cik"), F.lit("snapshot").alias("kind"))
+    return claims_.withColumn("reason_category", classify_reason(F.col("reason"))), sightings
+
+
+#: members, and labelled: those that a build gives for build_inputs(). A spell that begins while one is open is passed over.
+BUILD_CTE = (
+    MEMBERS_CTE
+    + """,
+b AS (SELECT m.*, c_name, DATE '1998-01-01' + CAST(company_id % 300 AS INTEGER) AS changed FROM members m JOIN customer ON c_custkey = company_id),
+moved AS (SELECT company_id, c_name, changed FROM b WHERE company_id % 7 = 0 AND entry_date < changed - 40 AND coalesce(exit_date, DATE '9999-12-31') > changed + 40),
+labelled AS (
+  SELECT b.company_id, b.c_name AS company_name, b.entry_date, b.exit_date, moved.changed,
+         CASE WHEN b.entry_date >= moved.changed THEN 'N' ELSE 'K' END || b.company_id AS entry_ticker,
+         CASE WHEN b.exit_date >= moved.changed THEN 'N' WHEN b.exit_date IS NOT NULL THEN 'K' END || b.company_id AS exit_ticker
+  FROM (SELECT *, coalesce(count(*) FILTER (WHERE exit_date IS NULL) OVER (PARTITION BY company_id ORDER BY entry_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open_before FROM b) b
+       LEFT JOIN moved USING (company_id)
+  WHERE open_before = 0)"""
+)
+
+
 def spell_events(members: DataFrame) -> DataFrame:
     """The ADDs and REMOVEs at the ends of the spells."""
     add = members.select("company_id", F.lit("ADD").alias("action"), F.col("entry_date").alias("effective_date"), F.col("entry_ticker").alias("label"), F.lit("").alias("reason_category"), F.lit(None).cast("string").alias("event_id"))
