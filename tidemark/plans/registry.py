@@ -590,6 +590,51 @@ def html_links(spark, sf):
     return page_links(w.table(spark, sf, "pages"), "page_id", "html").groupBy("page_id").agg(F.count("href").alias("n_links"))
 
 
+# -- lookups ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey AS company_id, 2::BIGINT AS tier FROM customer WHERE c_mktsegment = 'BUILDING'")
+def find_company_by_label(spark, sf):
+    """A label, given in small letters, comes before names that hold it."""
+    c = w.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("label"))
+    return entities.find(" building ", c, c, c, "id").select(F.col("id").cast("long").alias("company_id"), "tier")
+
+
+@query("SELECT s_suppkey, r_name AS canonical FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND s_suppkey % 5 <> 0 LEFT JOIN region ON n_regionkey = r_regionkey")
+def alias_lookup(spark, sf):
+    """Names in other letter case, with a legal form (every second) or unknown (every fifth) to the canonical name of an alias."""
+    nation, region = w.table(spark, sf, "nation"), w.table(spark, sf, "region")
+    known = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("alias_name"), F.col("r_name").alias("canonical_name"), F.col("n_nationkey").alias("position"))
+    form, unknown = F.when(F.col("s_suppkey") % 2 == 1, ", Inc.").otherwise(""), F.when(F.col("s_suppkey") % 5 == 0, "of elsewhere ").otherwise("")
+    asked = w.table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.concat(unknown, F.lower("n_name"), form).alias("name"))
+    return entities.alias_of(asked, known, "name", text.normalize_name(F.col("name")), text.normalize_name(F.col("alias_name"))).select("s_suppkey", "canonical")
+
+
+@query(
+    """WITH a AS (SELECT DISTINCT o_custkey % 50 AS l, CAST(o_orderdate AS DATE) AS on_date FROM orders), c AS (SELECT s_suppkey AS position, s_suppkey % 50 AS l, DATE '1995-01-01' + CAST(s_suppkey * 37 % 2400 AS INTEGER) AS d FROM supplier),
+    h AS (SELECT a.l, on_date, c.d, position, row_number() OVER (PARTITION BY a.l, on_date ORDER BY position) AS nth FROM a JOIN c ON a.l = c.l AND abs(on_date - d) <= 45)
+    SELECT 'N' || l AS label, on_date, 'O' || position AS old_ticker, d AS effective_date FROM h WHERE nth = 1"""
+)
+def curated_change_lookup(spark, sf):
+    """The first listed change of a label within 45 days of each day on which it is asked for."""
+    label = lambda c: F.concat(F.lit("N"), (F.col(c) % 50).cast("string"))
+    asked = w.table(spark, sf, "orders").select(label("o_custkey").alias("label"), F.to_date("o_orderdate").alias("on_date"))
+    day = F.date_add(F.to_date(F.lit("1995-01-01")), (F.col("s_suppkey") * 37 % 2400).cast("int"))
+    changes = w.table(spark, sf, "supplier").select(F.concat(F.lit("O"), F.col("s_suppkey").cast("string")).alias("old_ticker"), label("s_suppkey").alias("new_ticker"), day.alias("effective_date"), F.col("s_suppkey").alias("position"))
+    return entities.curated_change(asked, changes).select("label", "on_date", "old_ticker", "effective_date")
+
+
+@query(
+    """SELECT CAST(min(o_orderdate) AS DATE) AS effective_date, 'ADD' AS action, 'K' || c_custkey AS ticker, c_name AS name, 'wikipedia_constituents' AS source_type, 0.75::DOUBLE AS confidence
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name"""
+)
+def candidates_from_constituents(spark, sf):
+    """An ADD for each row with a date of its own; customers without orders have none."""
+    first = w.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_date(F.min("o_orderdate")).alias("date_added"))
+    rows = w.table(spark, sf, "customer").join(first, "c_custkey", "left").select(F.concat(F.lit("K"), F.col("c_custkey").cast("string")).alias("ticker"), F.col("c_name").alias("name"), "date_added")
+    return claims.from_constituents(rows).select("effective_date", "action", "ticker", "name", "source_type", "confidence")
+
+
 # -- builds -----------------------------------------------------------------------------------------------------------
 
 
