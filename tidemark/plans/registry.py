@@ -376,6 +376,21 @@ def reconcile_missing_extra(spark, sf):
     return reconcile.differences(ours, theirs, ["on_date", "company_id"], "reference_company")
 
 
+@query(
+    """WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS d, 'L' || o_custkey % 97 || 'B' AS t, o_orderkey AS k FROM orders),
+    x AS (SELECT DISTINCT d, t FROM o WHERE k % 10 <> 0), y AS (SELECT DISTINCT d, t FROM o WHERE k % 10 <> 1)
+    SELECT d AS on_date, t AS ticker, 'page_ticker' AS comparison, 'extra_in_ours' AS kind FROM (SELECT * FROM x EXCEPT SELECT * FROM y)
+    UNION ALL SELECT d, t, 'page_ticker', 'missing_in_ours' FROM (SELECT * FROM y EXCEPT SELECT * FROM x)"""
+)
+def reconcile_labels(spark, sf):
+    """Label by label, by compare keys: one side writes a share class with a point, the other with a hyphen in small letters."""
+    ours, theirs = _sides(spark, sf)
+    number = (F.col("company_id") % 97).cast("string")
+    mine = ours.select("on_date", text.compare_key(F.concat(F.lit("L"), number, F.lit(".B"))).alias("ticker"))
+    shown = theirs.select("on_date", text.compare_key(F.concat(F.lit("l"), number, F.lit("-b"))).alias("ticker"))
+    return reconcile.differences(mine, shown, ["on_date", "ticker"], "page_ticker")
+
+
 @query(f"WITH {_SIDES}, d2 AS (SELECT d FROM ours UNION SELECT d FROM theirs) SELECT d AS on_date, (SELECT count(*) FROM ours WHERE ours.d = d2.d) AS ours, (SELECT count(*) FROM theirs WHERE theirs.d = d2.d) AS theirs, (SELECT count(*) FROM diff WHERE diff.d = d2.d AND kind = 'missing_in_ours') AS missing, (SELECT count(*) FROM diff WHERE diff.d = d2.d AND kind = 'extra_in_ours') AS extra FROM d2")
 def reconcile_tallies(spark, sf):
     ours, theirs = _sides(spark, sf)
