@@ -605,6 +605,24 @@ def html_links(spark, sf):
     return page_links(w.table(spark, sf, "pages"), "page_id", "html").groupBy("page_id").agg(F.count("href").alias("n_links"))
 
 
+@query(
+    """WITH a AS (SELECT s_suppkey AS entity, DATE '1990-01-01' + CAST(s_suppkey * 53 % 4000 AS INTEGER) AS first_seen FROM supplier),
+    b AS (SELECT n_nationkey AS holder, DATE '1988-01-01' + CAST(n_nationkey * 90 AS INTEGER) AS start, DATE '1990-06-01' + CAST(n_nationkey * 170 AS INTEGER) AS b_first FROM nation),
+    h AS (SELECT entity, holder, b_first - (first_seen + 100) AS gap FROM a JOIN b ON b_first - (first_seen + 100) BETWEEN 1 AND 431 AND start <= first_seen
+          AND (holder % 4 = 0 OR start + CAST(holder % 4 * 900 AS INTEGER) >= first_seen + 100))
+    SELECT 'S' || entity AS a, min('N' || holder) AS b, min(gap)::BIGINT AS gap FROM h GROUP BY entity HAVING count(*) = 1"""
+)
+def backfilled_rename(spark, sf):
+    """Suppliers seen for a while only inside the interval of exactly one nation that is seen later."""
+    at = lambda start, days: F.date_add(F.to_date(F.lit(start)), days.cast("int"))
+    first = at("1990-01-01", F.col("s_suppkey") * 53 % 4000)
+    hidden = w.table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("entity"), first.alias("first_seen"), F.date_add(first, 100).alias("last_seen"))
+    n, holder = F.col("n_nationkey"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("holder")
+    nation, start = w.table(spark, sf, "nation"), at("1988-01-01", n * 90)
+    spans = nation.select(holder, start.alias("start"), F.when(n % 4 != 0, F.date_add(start, (n % 4 * 900).cast("int"))).alias("end"))
+    return entities.backfilled(hidden, spans, nation.select(holder, at("1990-06-01", n * 170).alias("first_seen")))
+
+
 # -- lookups ----------------------------------------------------------------------------------------------------------
 
 
