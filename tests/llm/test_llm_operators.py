@@ -186,6 +186,49 @@ def test_image_copies_of_few_corners(spark):
     assert all(out[i] == i for i in range(10, 50, 2))
 
 
+def test_image_copies_among_unrelated_images(spark, monkeypatch):
+    """Unrelated images hardly meet, edited copies and crops are found, and what is dealt out in large tables gives the same."""
+    rng = np.random.default_rng(12)
+    images = [rng.integers(1, 255, (int(h), 24), dtype=np.uint8).repeat(2, 0).repeat(2, 1) for h in rng.integers(30, 80, 300)]
+    n = len(images)
+    for x in images[:30]:
+        edited = x[::2, ::2].copy()
+        changed = rng.random(edited.shape) < 0.03
+        edited[changed] = rng.integers(1, 255, changed.sum())
+        images += [edited.repeat(2, 0).repeat(2, 1), x[7:-9, 5:], np.clip(x.astype(int) + rng.integers(-1, 2, x.shape), 0, 255).astype(np.uint8)]
+    shared = rng.integers(1, 255, (8, 48), dtype=np.uint8)
+    images += [np.concatenate([rng.integers(1, 255, (40, 48), dtype=np.uint8), shared, x]) for x in rng.integers(1, 255, (20, 12, 48), dtype=np.uint8)]
+    images += [images[0], images[5]]
+    df = spark.createDataFrame([(i, x.shape[1], x.tobytes()) for i, x in enumerate(images)], "id long, width int, pixels binary")
+    met, own = [], image_copies.Stored
+
+    class Recorded(own):
+        def __init__(self, df):
+            super().__init__(df)
+            if "votes" in df.columns:
+                met.append(self.df.where("b IS NOT NULL").count())
+
+    described = [image_copies.describe(x) for x in images[: n + 90]]
+    linked = [image_copies.agreeing(*described[i // 3], *described[n + i]) >= image_copies.needed(len(described[i // 3][1]), np.int64(len(described[n + i][1])), 8, 0.5) for i in range(90)]
+    assert sum(linked) > 80
+    expected = {i: i for i in range(n)} | {n + i: i // 3 if linked[i] else n + i for i in range(90)} | {i: i for i in range(n + 90, n + 110)} | {n + 110: 0, n + 111: 5}
+    monkeypatch.setattr(image_copies, "Stored", Recorded)
+    assert {r["id"]: r["class_id"] for r in image_copies.find_copies(df).collect()} == expected
+    assert sum(met) < 6 * len(images)
+    monkeypatch.setattr(image_copies, "MOST_HELD", 0)
+    assert {r["id"]: r["class_id"] for r in image_copies.find_copies(df).collect()} == expected
+
+
+def test_pairs_agree_as_one_by_one():
+    """Many pairs at once have the counts that agreeing() gives, whatever repeats in them."""
+    rng = np.random.default_rng(13)
+    images = [rng.integers(0, 255, (40, 48), dtype=np.uint8) for _ in range(6)]
+    images += [x[6:, 3:] for x in images] + [np.tile(rng.integers(0, 255, (12, 48), dtype=np.uint8), (60, 1)), np.zeros((3, 3), np.uint8)]
+    pairs = [(*image_copies.describe(a), *image_copies.describe(b)) for a, b in itertools.product(images, repeat=2)]
+    expected = [image_copies.agreeing(*x) for x in pairs]
+    assert image_copies.agreeing_in(pairs).tolist() == expected and max(expected) > 1000
+
+
 # -- 3 and 6 ----------------------------------------------------------------------------------------------------------
 
 
