@@ -67,14 +67,21 @@ def pair_dates(left: DataFrame, right: DataFrame, key: str, near: int = PAIR_TOL
     At most `near` days apart, of different labels, and the right label must not itself occur on the left within
     `clear` days. Per left row the nearest, earliest, first-labelled one.
     """
-    # of one label and day only the least key can win, so a hot day is joined as its labels
-    around = right.groupBy(F.col("label").alias("other_label"), F.col("on_date").alias("other_date")).agg(F.min(F.struct(F.col(key).alias("k"))).alias("_key"))
-    around = around.select(F.col("_key.k").alias("_key"), "other_label", "other_date")
-    spread = around.withColumn("on_date", F.explode(F.sequence(F.date_sub("other_date", near), F.date_add("other_date", near))))
-    pairs = left.distinct().join(spread, "on_date").where(F.col("label") != F.col("other_label"))
-    listed = left.select(F.col("label").alias("other_label"), F.explode(F.sequence(F.date_sub("on_date", clear), F.date_add("on_date", clear))).alias("on_date")).distinct()
-    free = pairs.join(listed, ["other_label", "on_date"], "left_anti")
-    return free.groupBy(key, "label", "on_date").agg(F.min(F.struct(F.abs(F.datediff("on_date", "other_date")).alias("gap"), "other_date", "other_label", F.col("_key").alias("other"))).alias("p")).select(key, "label", "on_date", "p.gap", "p.other_date", "p.other_label", "p.other")
+    # a left row's own label is near it, so what is left to pair with depends on its day alone: one row a day is joined
+    around = right.groupBy("label", "on_date").agg(F.min(F.struct(F.col(key).alias("k"))).alias("_key")).select("label", "on_date", "_key.k", F.lit(False).alias("_left"))
+    listed = left.select("label", "on_date").distinct().select("label", "on_date", F.lit(None).cast(right.schema[key].dataType).alias("k"), F.lit(True).alias("_left"))
+    reach = Window.partitionBy("label").orderBy(F.unix_date("on_date")).rangeBetween(-near - clear, near + clear)
+    sides = around.union(listed).where(F.col("label").isNotNull() & F.col("on_date").isNotNull())
+    placed = sides.withColumn("_near", F.collect_list(F.when(F.col("_left"), F.col("on_date"))).over(reach)).where(~F.col("_left"))
+    spread = placed.select("_near", F.col("on_date").alias("other_date"), F.col("label").alias("other_label"), F.col("k").alias("other"), F.explode(F.sequence(F.date_sub("on_date", near), F.date_add("on_date", near))).alias("on_date"))
+    taken = F.exists("_near", lambda d: F.abs(F.datediff(d, F.col("on_date"))) <= clear)
+    gap = F.abs(F.datediff("on_date", "other_date"))
+    free = spread.where(~taken).withColumn("_order", F.when(F.col("other_date") < F.col("on_date"), 2 * gap - 1).otherwise(2 * gap)).drop("_near")
+    # the day is found by numbers, so that only its labels are sorted
+    nearest = free.groupBy("on_date").agg(F.min("_order").alias("_order"))
+    best = free.join(F.broadcast(nearest), ["on_date", "_order"]).groupBy("on_date").agg(F.min(F.struct(gap.alias("gap"), "other_date", "other_label", "other")).alias("p"))
+    paired = left.distinct().where(F.col("label").isNotNull()).join(F.broadcast(best), "on_date")
+    return paired.select(key, "label", "on_date", "p.gap", "p.other_date", "p.other_label", "p.other")
 
 
 def same_day_swaps(moves: DataFrame, at: str = "on_date", label: str = "label", group: list[str] | None = None) -> DataFrame:
