@@ -105,8 +105,10 @@ def snapshots_to_intervals(observed: DataFrame, label: str, at: str, keys: list[
     pairs = observed.select(F.col(label), F.col(at)).distinct()
     dates = pairs.select(at).distinct()
     numbered = dates.select(F.col(at).alias("_at"), F.row_number().over(Window.orderBy(at)).alias("_n"), F.lead(at).over(Window.orderBy(at)).alias("_next"))
-    placed = pairs.join(numbered, F.col(at) == F.col("_at"))
-    island = F.col("_n") - F.row_number().over(Window.partitionBy(label).orderBy(at))
+    # rows are a few bytes when shuffled but many when sorted, so tasks aren't put together by their size on disk
+    tasks = int(observed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = pairs.join(F.broadcast(numbered), F.col(at) == F.col("_at")).drop("_at").repartition(tasks, label)  # a row a list
+    island = F.col("_n") - F.row_number().over(Window.partitionBy(label).orderBy("_n"))
     return placed.withColumn("_island", island).groupBy(label, "_island").agg(F.min(at).alias("start"), F.max_by("_next", "_n").alias("end")).drop("_island")
 
 

@@ -162,7 +162,8 @@ def snapshot_as_of(spark, sf):
 )
 def snapshot_changes(spark, sf):
     spans = temporal.snapshots_to_intervals(_months(spark, sf), "label", "on_date")
-    return spans.select(F.col("start").alias("on_date"), "label", F.lit("came").alias("change")).union(spans.where(F.col("end").isNotNull()).select("end", "label", F.lit("went")))
+    ends = F.array(F.struct(F.col("start").alias("on_date"), F.lit("came").alias("change")), F.struct(F.col("end").alias("on_date"), F.lit("went").alias("change")))
+    return spans.select("label", F.explode(ends).alias("x")).where(F.col("x.on_date").isNotNull()).select("x.on_date", "label", "x.change")
 
 
 @query(f'WITH {w.SPANS_CTE} SELECT company_id, start, fin AS "end", start_label, end_label FROM u')
